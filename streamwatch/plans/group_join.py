@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +30,9 @@ SALT = "__salt"
 # fewer hot groups than the inverse, whatever the data.
 HOT_SHARE = 1e-4
 
+# Up to here measured statistics are broadcast whole.
+MEASURED_BROADCAST_BYTES = 128 * 2**20
+
 KEYED_STREAM_SALTS = 8
 
 
@@ -67,19 +70,19 @@ def _attach_table(
     )
     stats = flatten_window(aggregate_windows(rows, counted, keys)).drop("window_end").checkpoint()
     return join_group_statistics(
-        flatten_window(rows), stats, ["window_start", *keys], broadcast_bytes=broadcast_bytes
+        flatten_window(rows), stats, keys, broadcast_bytes=broadcast_bytes
     )
 
 
 def join_group_statistics(
     rows: DataFrame,
     stats: DataFrame,
-    on: Sequence[str],
+    keys: Sequence[str],
     *,
     broadcast_bytes: int | None = None,
     hot_share: float = HOT_SHARE,
 ) -> DataFrame:
-    """Left join ``rows`` to one ``stats`` row per group, by the measured size of ``stats``.
+    """Left join ``rows`` to one ``stats`` row per window and key, by the measured size.
 
     * Within the broadcast limit ``stats`` is broadcast and ``rows`` never move.
     * Beyond it only the hot groups are, and their rows do not move either. The
@@ -88,15 +91,14 @@ def join_group_statistics(
     ``stats`` carries the rows per group in ``__group_rows`` and must be cheap to
     read more than once. Null keys match null keys.
     """
-    spark = rows.sparkSession
-    limit = broadcast_limit(spark) if broadcast_bytes is None else broadcast_bytes
+    limit = broadcast_limit(rows.sparkSession) if broadcast_bytes is None else broadcast_bytes
     total, size = stats.agg(
-        F.coalesce(F.sum(GROUP_ROWS), F.lit(0)), _hashed_size(stats, on)
+        F.coalesce(F.sum(GROUP_ROWS), F.lit(0)), _hashed_size(stats, keys)
     ).first()
 
-    renamed = {name: f"__on_{i}" for i, name in enumerate(on)}
+    renamed = {"window_start": "__on_window", **_renamed_keys(keys)}
     stats = stats.withColumnsRenamed(renamed)
-    same_group = all_of([F.col(name).eqNullSafe(F.col(other)) for name, other in renamed.items()])
+    same_group = (F.col("window_start") == F.col("__on_window")) & _same_keys(keys)
     helpers = [*renamed.values(), GROUP_ROWS]
 
     if size <= limit:
@@ -111,19 +113,32 @@ def join_group_statistics(
     return in_hot.unionByName(in_cold).drop(*helpers)
 
 
+def _renamed_keys(keys: Sequence[str]) -> dict[str, str]:
+    return {key: f"__on_{i}" for i, key in enumerate(keys)}
+
+
+def _same_keys(keys: Sequence[str]) -> Column:
+    matches = [F.col(key).eqNullSafe(F.col(other)) for key, other in _renamed_keys(keys).items()]
+    return all_of(matches) if matches else F.lit(True)
+
+
 def broadcast_limit(spark: SparkSession) -> int:
-    """The session's own broadcast threshold in bytes; negative means never."""
+    """Bytes of measured statistics that may be broadcast; 0 if the session forbids it.
+
+    Spark's own threshold is small because it guards estimates.
+    """
     text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()
     digits = text.rstrip("bkmgt")
     unit = text[len(digits):].rstrip("b")
-    return int(digits) * {"": 1, "k": 2**10, "m": 2**20, "g": 2**30, "t": 2**40}[unit]
+    threshold = int(digits) * {"": 1, "k": 2**10, "m": 2**20, "g": 2**30, "t": 2**40}[unit]
+    return 0 if threshold < 0 else max(threshold, MEASURED_BROADCAST_BYTES)
 
 
-def _hashed_size(stats: DataFrame, on: Sequence[str]):
+def _hashed_size(stats: DataFrame, keys: Sequence[str]) -> Column:
     """Bytes of a hash table over ``stats``, keys held twice, as an aggregate."""
-    fixed = 64 + 8 * (len(stats.columns) + len(on))
+    fixed = 64 + 8 * (len(stats.columns) + len(keys) + 1)
     bytes_per_row = F.lit(fixed).cast("bigint")
-    for name in on:
+    for name in keys:
         if isinstance(stats.schema[name].dataType, (T.StringType, T.BinaryType)):
             bytes_per_row += 2 * F.coalesce(F.octet_length(name), F.lit(0))
     return F.coalesce(F.sum(bytes_per_row), F.lit(0))
@@ -148,17 +163,13 @@ def _attach_stream(
     columns = [c for c in rows.columns if c != WINDOW] if salt_by is None else list(salt_by)
     require_columns(rows, columns)
 
-    renamed = {WINDOW: "__on_window", **{key: f"__on_{i}" for i, key in enumerate(keys)}}
+    renamed = {WINDOW: "__on_window", **_renamed_keys(keys)}
     stats = (
         aggregate_windows(rows, measures, keys)
         .withColumnsRenamed(renamed)
         .withColumn("__on_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     )
     salted = rows.withColumn(SALT, F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int"))
-    matches = [
-        F.col(WINDOW) == F.col("__on_window"),
-        F.col(SALT) == F.col("__on_salt"),
-        *(F.col(key).eqNullSafe(F.col(renamed[key])) for key in keys),
-    ]
-    joined = salted.join(stats, all_of(matches), "left")
+    same_group = (F.col(WINDOW) == F.col("__on_window")) & _same_keys(keys)
+    joined = salted.join(stats, same_group & (F.col(SALT) == F.col("__on_salt")), "left")
     return flatten_window(joined.drop(*renamed.values(), SALT, "__on_salt"))

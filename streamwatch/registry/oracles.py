@@ -28,14 +28,14 @@ def _lineitem() -> str:
 CLOSED = "window_end <= (SELECT max(ts) FROM events) - INTERVAL '10 minutes'"
 
 
-def _stats(source: str, keys: str = "", digits: int = 6, where: str = "true") -> str:
+def _stats(source: str, keys: str = "", where: str = "true") -> str:
     return f"""
     SELECT window_start, window_end, {keys}
-           round(avg(value), {digits}) AS avg_amount,
-           round(stddev_samp(value), {digits}) AS stddev_amount,
-           round(min(value), {digits}) AS min_amount,
-           round(max(value), {digits}) AS max_amount,
-           round(avg(label), {digits}) AS avg_fraud_rate
+           round(avg(value), 6) AS avg_amount,
+           round(stddev_samp(value), 6) AS stddev_amount,
+           round(min(value), 6) AS min_amount,
+           round(max(value), 6) AS max_amount,
+           round(avg(label), 6) AS avg_fraud_rate
     FROM ({source}) WHERE {where}
     GROUP BY {keys} window_start, window_end"""
 
@@ -45,7 +45,6 @@ def _zscore(
     columns: str,
     group: str = "window_start",
     threshold: float = 3.0,
-    digits: int = 6,
     where: str = "true",
 ) -> str:
     return f"""
@@ -58,8 +57,8 @@ def _zscore(
       SELECT *, CASE WHEN sd > 0 THEN abs((value - mean) / sd) ELSE 0 END AS z FROM measured
     )
     SELECT {columns}, window_start,
-           round(mean, {digits}) AS avg_amount, round(sd, {digits}) AS stddev_amount,
-           round(z, {digits}) AS z_score, z > {threshold} AS is_anomaly
+           round(mean, 6) AS avg_amount, round(sd, 6) AS stddev_amount,
+           round(z, 6) AS z_score, z > {threshold} AS is_anomaly
     FROM judged WHERE {where}"""
 
 
@@ -73,29 +72,29 @@ def _bounds(source: str, multiplier: float) -> str:
 
 
 def _outside(
-    source: str, columns: str, multiplier: float, flag: str = "", digits: int = 6, where: str = "true"
+    source: str, columns: str, multiplier: float, flag: str = "", where: str = "true"
 ) -> str:
     return f"""
     WITH rows AS ({source}), bounds AS ({_bounds(source, multiplier)})
     SELECT {columns}, rows.window_start,
-           round(q1, {digits}) AS q1, round(q3, {digits}) AS q3,
-           round(lower_bound, {digits}) AS lower_bound,
-           round(upper_bound, {digits}) AS upper_bound {flag}
+           round(q1, 6) AS q1, round(q3, 6) AS q3,
+           round(lower_bound, 6) AS lower_bound,
+           round(upper_bound, 6) AS upper_bound {flag}
     FROM rows JOIN bounds USING (window_start)
     WHERE (value < lower_bound OR value > upper_bound)
       AND {where}"""
 
 
-def _data(source: str, digits: int = 6) -> str:
+def _data(source: str) -> str:
     return f"""
     SELECT window_start, window_end, count(*) AS transaction_count,
-           round(avg(value), {digits}) AS avg_amount,
-           round(stddev_samp(value), {digits}) AS stddev_amount,
-           round(min(value), {digits}) AS min_amount,
-           round(max(value), {digits}) AS max_amount,
-           round(quantile_disc(value, 0.5), {digits}) AS median_amount,
-           round(quantile_disc(value, 0.95), {digits}) AS p95_amount,
-           round(quantile_disc(value, 0.99), {digits}) AS p99_amount
+           round(avg(value), 6) AS avg_amount,
+           round(stddev_samp(value), 6) AS stddev_amount,
+           round(min(value), 6) AS min_amount,
+           round(max(value), 6) AS max_amount,
+           round(quantile_disc(value, 0.5), 6) AS median_amount,
+           round(quantile_disc(value, 0.95), 6) AS p95_amount,
+           round(quantile_disc(value, 0.99), 6) AS p99_amount
     FROM ({source}) GROUP BY window_start, window_end"""
 
 
@@ -194,7 +193,7 @@ ORACLES: dict[str, str] = {
     "window_stats": _stats(_events()),
     "window_stats_short": _stats(_events("5 minutes")),
     "window_stats_by_key": _stats(_events(), keys="event_type,"),
-    "window_stats_large": _stats(_lineitem(), digits=4),
+    "window_stats_large": _stats(_lineitem()),
     "zscore_scored": _zscore(_events(), _EVENT_COLUMNS),
     "zscore_anomalies": _zscore(_events(), _EVENT_COLUMNS, where="z > 3.0"),
     "zscore_short": _zscore(_events("5 minutes"), _EVENT_COLUMNS),
@@ -206,9 +205,8 @@ ORACLES: dict[str, str] = {
     ),
     "zscore_large": _zscore(
         _lineitem(),
-        "l_orderkey, l_linenumber, round(l_extendedprice, 4) AS l_extendedprice",
+        "l_orderkey, l_linenumber, round(l_extendedprice, 6) AS l_extendedprice",
         threshold=1.5,
-        digits=4,
         where="z > 1.5",
     ),
     "iqr_bounds": f"""
@@ -221,15 +219,14 @@ ORACLES: dict[str, str] = {
     ),
     "iqr_large": _outside(
         _lineitem(),
-        "l_orderkey, l_linenumber, round(l_extendedprice, 4) AS l_extendedprice",
+        "l_orderkey, l_linenumber, round(l_extendedprice, 6) AS l_extendedprice",
         0.4,
-        digits=4,
     ),
     "linear_scores": f"""
       SELECT event_id, ts, value, label, is_fraud, round(p, 6) AS fraud_probability
       FROM ({_linear(_events())})""",
     "data_drift": _data(_events()),
-    "data_drift_large": _data(_lineitem(), digits=4),
+    "data_drift_large": _data(_lineitem()),
     "label_drift": _label(_events()),
     "data_drift_alerts": f"""
       SELECT window_start, window_end, round(stddev_samp(value), 6) AS stddev_amount,

@@ -9,6 +9,7 @@ import time
 
 import duckdb
 import pandas as pd
+from pyspark.sql import DataFrame
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -16,6 +17,11 @@ from streamwatch.registry.oracles import ORACLES  # noqa: E402
 from streamwatch.registry.queries import QUERIES  # noqa: E402
 from streamwatch.session import build_session  # noqa: E402
 
+TYPES = {
+    "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "BOOLEAN": "boolean",
+    "VARCHAR": "string", "TIMESTAMP": "timestamp_ntz",
+}
+
 
 def canonical(df: pd.DataFrame) -> pd.DataFrame:
     df = df[sorted(df.columns)].copy()
@@ -50,6 +56,14 @@ def difference(got: pd.DataFrame, want: pd.DataFrame) -> str | None:
     return None
 
 
+def types_differ(result: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> str | None:
+    relation = con.sql(sql)
+    want = {n: TYPES[str(kind)] for n, kind in zip(relation.columns, relation.types)}
+    got = {f.name: f.dataType.simpleString() for f in result.schema}
+    wrong = {n: (got[n], want[n]) for n in got if got[n] != want[n]}
+    return f"types {wrong}" if wrong else None
+
+
 def main() -> int:
     sf_dir, names = sys.argv[1], sys.argv[2:] or list(QUERIES)
     spark = build_session(
@@ -62,12 +76,13 @@ def main() -> int:
     for name in names:
         started = time.time()
         try:
-            got = QUERIES[name](spark, sf_dir).toPandas()
+            result = QUERIES[name](spark, sf_dir)
+            got = result.toPandas()
             took = time.time() - started
             problem = None
             if name in ORACLES:
                 want = con.execute(ORACLES[name]).df()
-                problem = difference(got, want)
+                problem = difference(got, want) or types_differ(result, con, ORACLES[name])
             state = "FAIL " + problem if problem else ("ok" if name in ORACLES else "ok, rows only")
         except Exception as error:
             took, got, state = time.time() - started, [], f"ERROR {str(error)[:3000]}"
