@@ -64,9 +64,13 @@ def decode_events(
         T.StructField(f.name, T.DoubleType() if f.name == label_col else f.dataType)
         for f in wanted
     ]
+    options = {}
     if keep_corrupt:
         wire.append(T.StructField(CORRUPT, T.StringType()))
-    parsed = F.from_json(F.col(value_col).cast("string"), T.StructType(wire))
+        # Spark prunes the parse to the fields in use only if there are no options;
+        # pruned, a bad field that nobody selects would not count as corrupt
+        options = {"mode": "PERMISSIVE"}
+    parsed = F.from_json(F.col(value_col).cast("string"), T.StructType(wire), options)
     flat = raw.select(*keep, parsed.alias("data")).select(*keep, "data.*")
     if any(f.name == label_col for f in wanted):
         # a label outside the integer range must not stop the job

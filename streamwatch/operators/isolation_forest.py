@@ -184,7 +184,6 @@ def fit_isolation_forest(
     df: DataFrame,
     features: Sequence[str] = ("Amount",),
     *,
-    key: Sequence[str] = (),
     trees: int = 100,
     sample_size: int = 256,
     contamination: float = CONTAMINATION,
@@ -192,18 +191,17 @@ def fit_isolation_forest(
 ) -> IsolationForestModel:
     """Grow the forest, then set the threshold that flags ``contamination`` of ``df``.
 
-    ``key`` names a unique key. With it the samples, and so the scores, depend on
-    the data and the seed only; without it they also depend on the partitions.
+    The same input in the same partitions gives the same forest again.
     """
-    require_columns(df, [*features, *key])
+    require_columns(df, features)
     if trees * (2 * sample_size - 1) > MAX_NODES:
         raise ValueError(f"more than {MAX_NODES} nodes: the model would not fit in memory")
     names = [f"__f{i}" for i in range(len(features))]
-    usable = df.select(
-        *(finite(f).alias(n) for f, n in zip(features, names)), *key
-    ).where(all_of([F.col(n).isNotNull() for n in names]))
+    usable = df.select(*(finite(f).alias(n) for f, n in zip(features, names))).where(
+        all_of([F.col(n).isNotNull() for n in names])
+    )
 
-    pool = _candidate_pool(usable, names, key, trees, sample_size, seed)
+    pool = _candidate_pool(usable, CANDIDATES * trees * sample_size, seed)
     size = pool.count()
     share = min(1.0, CANDIDATES * sample_size / size)
     draws = (
@@ -222,29 +220,16 @@ def fit_isolation_forest(
     return IsolationForestModel(forest.features, forest.nodes, threshold)
 
 
-def _candidate_pool(
-    usable: DataFrame,
-    names: Sequence[str],
-    key: Sequence[str],
-    trees: int,
-    sample_size: int,
-    seed: int,
-) -> DataFrame:
-    """A sample from which all trees draw, so that the big scan hashes a row once."""
+def _candidate_pool(usable: DataFrame, wanted: int, seed: int) -> DataFrame:
+    """About ``wanted`` rows from which all trees draw, so that the big table is sampled once.
+
+    Rows are drawn by position, so copies of a row cannot swell or miss the pool.
+    """
     rows = usable.count()
     if rows < 2:
         raise ValueError("a forest needs at least two rows whose features are numbers")
-    wanted = CANDIDATES * trees * sample_size
-    share = min(1.0, wanted / rows)
     checkpoint_root(usable.sparkSession)
-    if key:
-        picked = usable.where(uniform(*key, F.lit(seed)) < share) if share < 1 else usable
-        picked = picked.select(F.xxhash64(*key, F.lit(~seed)).alias("row"), *names)
-    else:
-        picked = usable.sample(share, seed) if share < 1 else usable
-        picked = picked.select(F.monotonically_increasing_id().alias("row"), *names)
-    tasks = max(1, min(rows, wanted) // ROWS_PER_TASK)
-    pool = picked.repartition(tasks).checkpoint()
-    if pool.count() > 2 * wanted:
-        raise ValueError(f"{list(key)} is not unique: the sample holds too many rows")
-    return pool
+    picked = usable if rows <= wanted else usable.sample(wanted / rows, seed)
+    numbered = picked.withColumn("row", F.monotonically_increasing_id())
+    # the sample of a large table is spread thinly over very many scan tasks
+    return numbered.repartition(max(1, min(rows, wanted) // ROWS_PER_TASK), "row").checkpoint()

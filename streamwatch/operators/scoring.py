@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 
-from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -67,8 +67,8 @@ def load_model(path: str, *, missing_ok: bool = False) -> PipelineModel | None:
     """A saved pipeline. A missing one raises, or gives ``None`` if that is fine."""
     try:
         return PipelineModel.load(path)
-    except Py4JJavaError as error:
-        if missing_ok and "Input path does not exist" in str(error.java_exception):
+    except AnalysisException as error:
+        if missing_ok and error.getCondition() == "PATH_NOT_FOUND":
             log.warning("no model at %s", path)
             return None
         raise

@@ -286,7 +286,7 @@ def iqr_large(spark, sf_dir):
 
 def isolation_scores(spark, sf_dir):
     source = events(spark, sf_dir)
-    forest = fit_isolation_forest(source, ["value"], key=["event_id"])
+    forest = fit_isolation_forest(source, ["value"])
     return shown(forest.transform(source), "event_id", "value", "anomaly_score", "is_anomaly")
 
 
@@ -409,7 +409,7 @@ def _drained(spark: SparkSession, stream: DataFrame, purpose: str) -> DataFrame:
     """Run an append stream over what is there and read its file sink."""
     folder = fresh_folder(spark, purpose)
     query = to_files(stream, f"{folder}/out", f"{folder}/state", drain=True)
-    await_queries(spark, [query])
+    await_queries([query])
     return spark.read.schema(stream.schema).parquet(f"{folder}/out")
 
 
@@ -450,7 +450,7 @@ def stream_monitor(spark, sf_dir):
     )
     folder = fresh_folder(spark, "monitor")
     query = to_reports(report, f"{folder}/out", f"{folder}/state", drain=True)
-    await_queries(spark, [query])
+    await_queries([query])
     parts = [
         read_report(spark, f"{folder}/out", name)
         for name in ("data", "label", "prediction", "performance")

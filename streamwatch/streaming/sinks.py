@@ -94,15 +94,13 @@ def read_report(spark: SparkSession, path: str, name: str, keys: Sequence[str] =
     return versions.groupBy(*group).agg(newest).select(*group, "newest.*")
 
 
-def await_queries(spark: SparkSession, queries: Sequence[StreamingQuery]) -> None:
+def await_queries(queries: Sequence[StreamingQuery], poll_seconds: float = 1) -> None:
     """Wait for all queries; if one fails, stop the others and raise its error."""
     try:
-        while any(q.isActive for q in queries):
-            spark.streams.awaitAnyTermination()
-            spark.streams.resetTerminated()
-        for query in queries:
-            if query.exception() is not None:
-                raise query.exception()
+        waiting = list(queries)
+        while waiting:
+            # raises the error of a failed query, whichever fails first
+            waiting = [q for q in waiting if not q.awaitTermination(poll_seconds)]
     finally:
         for query in queries:
             if query.isActive:
