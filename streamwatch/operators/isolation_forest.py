@@ -27,9 +27,8 @@ CANDIDATES = 4
 MAX_NODES = 20_000_000
 ROWS_PER_TASK = 20_000
 
-NODE_SCHEMA = (
-    "tree int, node int, feature int, split double, left int, right int, path double, sample int"
-)
+# `child` is the left child, the right one follows it; a leaf has none (-1).
+NODE_SCHEMA = "tree int, node int, feature int, split double, child int, path double, sample int"
 
 
 def usual_path(n: int) -> float:
@@ -56,27 +55,26 @@ def _tree_grower(features: Sequence[str], sample_size: int, seed: int):
         chosen = candidates.sort_values(["draw", *names]).head(sample_size)
         data = chosen[names].to_numpy(dtype="float64")
         random = np.random.default_rng([seed, tree])
-        nodes = []
-        waiting = [(np.arange(len(data)), 0, None, None)]
+        nodes = [{}]
+        waiting = [(np.arange(len(data)), 0, 0)]
         while waiting:
-            rows, depth, parent, side = waiting.pop()
-            node = len(nodes)
-            if parent is not None:
-                nodes[parent][side] = node
+            rows, depth, node = waiting.pop()
             low, high = data[rows].min(axis=0), data[rows].max(axis=0)
             usable = np.flatnonzero(high > low)
             if depth == depth_limit or len(usable) == 0:
-                leaf_path = depth + path_of[len(rows)]
-                nodes.append({"feature": -1, "split": 0.0, "left": -1, "right": -1, "path": leaf_path})
+                path = depth + path_of[len(rows)]
+                nodes[node] = {"feature": -1, "split": 0.0, "child": -1, "path": path}
                 continue
             feature = int(random.choice(usable))
             # below the maximum, so that neither side is empty
             split = random.uniform(low[feature], high[feature])
             split = float(min(split, np.nextafter(high[feature], low[feature])))
             goes_left = data[rows, feature] <= split
-            nodes.append({"feature": feature, "split": split, "left": -1, "right": -1, "path": 0.0})
-            waiting.append((rows[~goes_left], depth + 1, node, "right"))
-            waiting.append((rows[goes_left], depth + 1, node, "left"))
+            child = len(nodes)
+            nodes[node] = {"feature": feature, "split": split, "child": child, "path": 0.0}
+            nodes += [{}, {}]
+            waiting.append((rows[~goes_left], depth + 1, child + 1))
+            waiting.append((rows[goes_left], depth + 1, child))
         out = pd.DataFrame(nodes)
         out.insert(0, "node", np.arange(len(out)))
         out.insert(0, "tree", tree)
@@ -105,14 +103,14 @@ class IsolationForestModel:
             if "breaks" in forest:
                 place = np.searchsorted(forest["breaks"], data[:, 0], side="left")
                 return pd.Series(forest["scores"][place])
+            values, at_row = data.T.ravel(), np.arange(len(data))
             total = np.zeros(len(data))
-            at_row = np.arange(len(data))
             for root in forest["roots"]:
                 at = np.full(len(data), root)
                 for _ in range(forest["depth"]):
-                    right = data[at_row, forest["feature"][at]] > forest["split"][at]
-                    at = np.where(right, forest["right"][at], forest["left"][at])
-                total += forest["path"][at]
+                    value = values.take(forest["feature"].take(at) * len(data) + at_row)
+                    at = forest["child"].take(at) + (value > forest["split"].take(at))
+                total += forest["path"].take(at)
             return pd.Series(np.exp2(-total / forest["usual"]))
 
         inputs = [finite(f) for f in self.features]
@@ -144,18 +142,16 @@ class IsolationForestModel:
 
 
 def _scoring_arrays(nodes: pd.DataFrame, n_features: int) -> dict:
-    """The forest as flat arrays; leaves point to themselves."""
+    """The forest as flat arrays; a leaf leads to itself, whatever the value."""
     nodes = nodes.sort_values(["tree", "node"], ignore_index=True)
     sizes = nodes.groupby("tree").size()
     offset = nodes["tree"].map(sizes.cumsum() - sizes).to_numpy()
-    own = np.arange(len(nodes))
     leaf = nodes["feature"].to_numpy() < 0
     samples = nodes.groupby("tree")["sample"].first()
     forest = {
-        "feature": np.where(leaf, 0, nodes["feature"].to_numpy()),
-        "split": nodes["split"].to_numpy(),
-        "left": np.where(leaf, own, nodes["left"].to_numpy() + offset),
-        "right": np.where(leaf, own, nodes["right"].to_numpy() + offset),
+        "feature": np.where(leaf, 0, nodes["feature"].to_numpy()).astype("int64"),
+        "split": np.where(leaf, np.inf, nodes["split"].to_numpy()),
+        "child": np.where(leaf, np.arange(len(nodes)), nodes["child"].to_numpy() + offset),
         "path": nodes["path"].to_numpy(),
         "roots": np.flatnonzero(nodes["node"].to_numpy() == 0),
         "depth": max(1, math.ceil(math.log2(max(int(samples.max()), 2)))),
@@ -167,16 +163,15 @@ def _scoring_arrays(nodes: pd.DataFrame, n_features: int) -> dict:
 
 def _interval_scores(forest: dict) -> dict:
     """With one feature the score is constant between neighbouring split values."""
-    inner = forest["left"] != np.arange(len(forest["left"]))
-    breaks = np.unique(forest["split"][inner])
+    breaks = np.unique(forest["split"][np.isfinite(forest["split"])])
     # one point per interval; an interval includes its upper end
-    points = np.append(breaks, np.inf)
+    points = np.append(breaks, np.finfo("float64").max)
     total = np.zeros(len(points))
     for root in forest["roots"]:
         at = np.full(len(points), root)
         for _ in range(forest["depth"]):
-            at = np.where(points > forest["split"][at], forest["right"][at], forest["left"][at])
-        total += forest["path"][at]
+            at = forest["child"].take(at) + (points > forest["split"].take(at))
+        total += forest["path"].take(at)
     return {"breaks": breaks, "scores": np.exp2(-total / forest["usual"])}
 
 

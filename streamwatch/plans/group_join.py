@@ -104,7 +104,7 @@ def join_group_statistics(
     if size <= limit:
         return rows.join(F.broadcast(stats), same_group, "left").drop(*helpers)
 
-    is_hot = F.col(GROUP_ROWS) > F.lit(total * hot_share)
+    is_hot = F.col(GROUP_ROWS) > F.lit(int(total * hot_share))
     hot, cold = stats.filter(is_hot), stats.filter(~is_hot)
     in_hot = rows.join(F.broadcast(hot), same_group, "inner")
     in_cold = rows.join(

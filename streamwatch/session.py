@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # hash instead of sort where every partition of the smaller side proves small
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # window and join state of a large stream does not fit the executor heap
     "spark.sql.streaming.stateStore.providerClass":

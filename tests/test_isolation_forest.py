@@ -31,7 +31,7 @@ def brute_force(model, row):
         at = 0
         while nodes.feature[at] >= 0:
             value = row[model.features[nodes.feature[at]]]
-            at = nodes.right[at] if value > nodes.split[at] else nodes.left[at]
+            at = nodes.child[at] + int(value > nodes.split[at])
         paths.append(nodes.path[at])
         usual.append(usual_path(int(nodes["sample"].iloc[0])))
     return 2 ** (-np.mean(paths) / np.mean(usual))
