@@ -37,6 +37,7 @@ REPORT_COLUMNS = {
     ),
     "performance": ("tp", "fp", "fn", "tn", "accuracy", "precision", "recall", "f1_score"),
 }
+ALERT_COLUMNS = {"data": "has_data_drift", "label": "has_label_drift"}
 
 
 def _counted(name: str) -> Measures:
@@ -208,12 +209,13 @@ def monitoring_report(
 
 
 def report_parts(report: DataFrame, keys: Sequence[str] = ()) -> dict[str, DataFrame]:
-    """The single reports inside the output of ``monitoring_report``."""
-    return {
-        name: report.select("window_start", "window_end", *keys, *columns)
-        for name, columns in REPORT_COLUMNS.items()
-        if set(columns) <= set(report.columns)
-    }
+    """The single reports, with their alerts, inside the output of ``monitoring_report``."""
+    parts = {}
+    for name, columns in REPORT_COLUMNS.items():
+        if set(columns) <= set(report.columns):
+            alerts = [c for c in report.columns if c == ALERT_COLUMNS.get(name)]
+            parts[name] = report.select("window_start", "window_end", *keys, *columns, *alerts)
+    return parts
 
 
 def data_drift_alerts(report: DataFrame, threshold: float = DATA_THRESHOLD) -> DataFrame:

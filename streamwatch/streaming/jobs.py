@@ -14,11 +14,19 @@ from pyspark.sql.streaming import StreamingQuery
 
 from streamwatch.functions.messages import decode_events
 from streamwatch.operators.anomaly import flagged_only, iqr_anomalies, zscore_anomalies
-from streamwatch.operators.drift import monitoring_report
+from streamwatch.operators.drift import (
+    BASELINE_RATE_PERCENT,
+    DATA_THRESHOLD,
+    LABEL_THRESHOLD,
+    data_drift_alerts,
+    label_drift_alerts,
+    monitoring_report,
+)
+from streamwatch.operators.isolation_forest import IsolationForestModel
 from streamwatch.operators.scoring import score_events
 from streamwatch.streaming.sinks import to_console, to_files, to_reports
 
-METHODS = ("zscore", "iqr")
+METHODS = ("zscore", "iqr", "isolation_forest")
 DELAY = "10 minutes"
 
 
@@ -47,6 +55,7 @@ def anomaly_job(
     window: str = "5 minutes",
     threshold: float = 3.0,
     multiplier: float = 1.5,
+    forest: IsolationForestModel | None = None,
     delay: str = DELAY,
     path: str | None = None,
     checkpoint: str | None = None,
@@ -54,14 +63,20 @@ def anomaly_job(
     every: str | None = None,
     drain: bool = False,
 ) -> StreamingQuery:
-    """Report the anomalies of each window once the window has closed."""
+    """Report anomalies: of each window once it has closed, or by a fitted ``forest`` at once."""
     if method not in METHODS:
         raise ValueError(f"unknown method {method!r}, choose from {METHODS}")
-    events = decode_events(messages, columns=["timestamp", "Amount"], keep=keep)
-    if method == "zscore":
-        judged = zscore_anomalies(events, window=window, threshold=threshold, delay=delay)
+    if method == "isolation_forest":
+        if forest is None:
+            raise ValueError("the isolation forest must be fitted on a table first")
+        columns = ["timestamp", *forest.features]
+        judged = forest.transform(decode_events(messages, columns=columns, keep=keep))
     else:
-        judged = iqr_anomalies(events, window=window, multiplier=multiplier, delay=delay)
+        events = decode_events(messages, columns=["timestamp", "Amount"], keep=keep)
+        if method == "zscore":
+            judged = zscore_anomalies(events, window=window, threshold=threshold, delay=delay)
+        else:
+            judged = iqr_anomalies(events, window=window, multiplier=multiplier, delay=delay)
     return _append(flagged_only(judged), path, checkpoint, every, drain)
 
 
@@ -71,12 +86,15 @@ def drift_job(
     *,
     window: str = "10 minutes",
     delay: str = DELAY,
+    data_threshold: float = DATA_THRESHOLD,
+    label_threshold: float = LABEL_THRESHOLD,
+    baseline_rate_percent: float = BASELINE_RATE_PERCENT,
     path: str | None = None,
     checkpoint: str | None = None,
     every: str | None = None,
     drain: bool = False,
 ) -> StreamingQuery:
-    """Keep the drift reports up to date; with a model, those on predictions too."""
+    """Keep the drift reports and alerts up to date; with a model, those on predictions too."""
     if model is None:
         events = decode_events(messages, columns=["timestamp", "Amount", "Class"])
         report = monitoring_report(events, window=window, delay=delay)
@@ -88,6 +106,8 @@ def drift_job(
             window=window,
             delay=delay,
         )
+    report = data_drift_alerts(report, data_threshold)
+    report = label_drift_alerts(report, label_threshold, baseline_rate_percent)
     if path is None:
         return to_console(report, mode="update", checkpoint=checkpoint, every=every, drain=drain)
     return to_reports(report, path, _required(checkpoint), every=every, drain=drain)

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQueryException
 
 from streamwatch.operators.anomaly import flagged_only, iqr_anomalies, zscore_anomalies
 from streamwatch.operators.drift import data_drift, label_drift, label_drift_alerts, monitoring_report
+from streamwatch.operators.isolation_forest import fit_isolation_forest
 from streamwatch.operators.scoring import score_events, train_classifier
 from streamwatch.operators.window_stats import amount_statistics
 from streamwatch.schema import COMPONENTS, FEATURE_COLUMNS
@@ -226,9 +227,22 @@ def test_anomaly_job(spark, messages, method):
     assert {r.is_anomaly for r in got.collect()} == {True}
 
 
+def test_anomaly_job_with_a_fitted_forest(spark, messages):
+    stream, folder = messages
+    table = spark.read.json(str(folder / "topic")).select("Amount")
+    forest = fit_isolation_forest(table, trees=20, sample_size=64, contamination=0.2)
+    options = {"drain": True, "checkpoint": str(folder / "state"), "path": str(folder / "out")}
+    await_queries([anomaly_job(stream, method="isolation_forest", forest=forest, **options)])
+    got = spark.read.parquet(str(folder / "out"))
+    want = forest.transform(table).filter("is_anomaly")
+    assert sorted(r.Amount for r in got.collect()) == sorted(r.Amount for r in want.collect()) != []
+
+
 def test_anomaly_job_refuses_an_unknown_method(messages):
     with pytest.raises(ValueError, match="forest"):
         anomaly_job(messages[0], method="forest")
+    with pytest.raises(ValueError, match="fitted"):
+        anomaly_job(messages[0], method="isolation_forest")
 
 
 def test_scoring_job_then_drift_job(spark, messages):
@@ -258,6 +272,8 @@ def test_drift_job_without_a_model(spark, messages):
     await_queries([query])
     data = read_report(spark, str(folder / "reports"), "data").first()
     assert (data.transaction_count, data.invalid_count) == (181, 1)
+    assert data.has_data_drift is True
+    assert read_report(spark, str(folder / "reports"), "label").first().has_label_drift is True
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         read_report(spark, str(folder / "reports"), "performance")
 
