@@ -192,7 +192,7 @@ def monitoring_report(
     delay: str | None = None,
     accuracy: int = ACCURACY,
 ) -> DataFrame:
-    """All reports in one aggregation: one scan, one shuffle, one state store.
+    """All reports in one aggregation: one scan of a table, one state store on a stream.
 
     A report whose column is ``None`` is left out; performance needs the
     prediction and the label.

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamwatch.functions.values import all_of, finite, uniform
+from streamwatch.operators.window_stats import merged_in_two_steps
 from streamwatch.schema import require_columns
 from streamwatch.session import checkpoint_root
 
@@ -211,7 +212,8 @@ def fit_isolation_forest(
     forest = IsolationForestModel(tuple(features), grown.toPandas())
 
     scored = df.select(forest.score(df.sparkSession).alias("score"))
-    threshold = scored.agg(F.percentile_approx("score", 1.0 - contamination)).first()[0]
+    cut = F.percentile_approx("score", 1.0 - contamination).alias("cut")
+    threshold = merged_in_two_steps(scored, [], [cut]).first()["cut"]
     return IsolationForestModel(forest.features, forest.nodes, threshold)
 
 

@@ -13,6 +13,7 @@ from streamwatch.schema import require_columns
 
 WINDOW = "__window"
 CLOCK = "__clock"
+MERGE_SLOTS = 512
 
 
 @dataclass(frozen=True)
@@ -27,12 +28,14 @@ class Measures:
     inputs: dict[str, Column] = field(default_factory=dict)
     aggregates: tuple[Column, ...] = ()
     outputs: tuple[Column, ...] = ()
+    has_digests: bool = False
 
     def __add__(self, other: Measures) -> Measures:
         return Measures(
             {**self.inputs, **other.inputs},
             self.aggregates + other.aggregates,
             self.outputs + other.outputs,
+            self.has_digests or other.has_digests,
         )
 
 
@@ -55,12 +58,30 @@ def aggregate_windows(rows: DataFrame, measures: Measures, keys: Sequence[str])
     """Group the output of ``open_windows``; Spark combines before the shuffle."""
     require_columns(rows, keys)
     inputs = [column.alias(name) for name, column in measures.inputs.items()]
-    return (
-        rows.select(WINDOW, *keys, *inputs)
-        .groupBy(WINDOW, *keys)
-        .agg(*measures.aggregates)
-        .select(WINDOW, *keys, *measures.outputs)
-    )
+    rows = rows.select(WINDOW, *keys, *inputs)
+    if measures.has_digests and not rows.isStreaming:
+        grouped = merged_in_two_steps(rows, [WINDOW, *keys], measures.aggregates)
+    else:
+        grouped = rows.groupBy(WINDOW, *keys).agg(*measures.aggregates)
+    return grouped.select(WINDOW, *keys, *measures.outputs)
+
+
+def merged_in_two_steps(
+    rows: DataFrame, keys: Sequence[str], aggregates: Sequence[Column]
+) -> DataFrame:
+    """``rows.groupBy(keys).agg(aggregates)`` for aggregates that are costly to merge.
+
+    Merging two percentile digests takes milliseconds, and a group that all tasks
+    of a large scan contribute to would merge all of theirs in one task. Spark plans
+    an aggregation that has a distinct count in two steps, first by the group and
+    the counted value, then by the group. Counting slots of scan tasks thus spreads
+    the merging of one group over ``MERGE_SLOTS`` tasks.
+    """
+    slots = "__merge_slots"
+    slotted = rows.withColumn(slots, F.pmod(F.spark_partition_id(), F.lit(MERGE_SLOTS)))
+    grouped = slotted.groupBy(*keys).agg(*aggregates, F.count_distinct(slots).alias(slots))
+    # always true, but an unused count would be optimised away
+    return grouped.filter(F.col(slots) > 0).drop(slots)
 
 
 def flatten_window(df: DataFrame) -> DataFrame:
@@ -117,6 +138,7 @@ def percentiles(
         {f"__{name}": column},
         (digest.alias(f"__{name}_cuts"),),
         tuple(F.get(f"__{name}_cuts", i).alias(cut) for i, cut in enumerate(cuts)),
+        has_digests=True,
     )
 
 

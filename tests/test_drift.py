@@ -3,6 +3,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from streamwatch.operators import window_stats
 from streamwatch.operators.drift import (
     REPORT_COLUMNS,
     baseline_drift_alerts,
@@ -140,12 +141,20 @@ def test_report_leaves_out_what_has_no_column(transactions):
     assert set(report_parts(monitoring_report(rows, label_col=None))) == {"data"}
 
 
-def test_report_is_one_scan_and_one_shuffle(judged, spark, tmp_path):
+def plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_report_is_one_scan_and_never_moves_events(judged, spark, tmp_path):
     judged([(1.0, 1)]).write.parquet(str(tmp_path / "rows"))
     rows = spark.read.parquet(str(tmp_path / "rows"))
     report = monitoring_report(rows, probability_col="fraud_probability", prediction_col="is_fraud")
-    text = report._jdf.queryExecution().executedPlan().toString()
-    assert text.count("FileScan") == 1 and text.count("Exchange") == 1
+    text = plan(report)
+    assert text.count("FileScan") == 1
+    # what is shuffled has been aggregated: by window and slot, then by window
+    assert text.count("Exchange") == 2 and "__merge_slots" in text
+    assert plan(performance(rows)).count("Exchange") == 1
+    assert plan(label_drift(rows)).count("Exchange") == 1
 
 
 def test_unused_columns_are_not_read(judged, spark, tmp_path):
@@ -156,14 +165,23 @@ def test_unused_columns_are_not_read(judged, spark, tmp_path):
     assert "PushedFilters: [IsNotNull(timestamp)]" in text
 
 
-def test_skewed_window_is_combined_before_the_shuffle(spark):
-    """A window with nearly all rows reaches its reducer as one row per task."""
-    rows = spark.range(20000, numPartitions=4).select(
+@pytest.mark.parametrize("slots", [1, 3, 512])
+def test_digests_of_a_hot_window_merge_in_two_steps(spark, monkeypatch, slots):
+    """All tasks hold rows of one window; the result does not depend on the slots."""
+    monkeypatch.setattr(window_stats, "MERGE_SLOTS", slots)
+    rows = spark.range(8000, numPartitions=8).select(
         F.when(F.col("id") % 1000 == 0, LATER).otherwise(START).alias("timestamp"),
-        F.col("id").cast("double").alias("Amount"),
+        (F.hash("id") % 5000).cast("double").alias("Amount"),
         (F.col("id") % 2).cast("int").alias("Class"),
     )
-    report = monitoring_report(rows)
-    assert report.agg(F.sum("transaction_count")).first()[0] == 20000
-    text = report._jdf.queryExecution().executedPlan().toString()
-    assert "partial_percentile_approx" in text and "partial_avg" in text
+    report = data_drift(rows, accuracy=1_000_000)
+    assert "merge_percentile_approx" in plan(report)
+    got = {r.window_start: r for r in report.collect()}
+    amounts = {}
+    for r in rows.collect():
+        amounts.setdefault(r.timestamp, []).append(r.Amount)
+    for row, time in zip((got[k] for k in sorted(got)), (START, LATER)):
+        ordered = sorted(amounts[time])
+        assert row.transaction_count == len(ordered)
+        for name, cut in (("median_amount", 0.5), ("p95_amount", 0.95), ("p99_amount", 0.99)):
+            assert getattr(row, name) == ordered[math.ceil(cut * len(ordered)) - 1]
