@@ -64,6 +64,9 @@ def decode_events(
         T.StructField(f.name, T.DoubleType() if f.name == label_col else f.dataType)
         for f in wanted
     ]
+    clash = [name for name in keep if name in {f.name for f in wanted}]
+    if clash:
+        raise ValueError(f"also fields of the event, rename them first: {clash}")
     options = {}
     if keep_corrupt:
         wire.append(T.StructField(CORRUPT, T.StringType()))

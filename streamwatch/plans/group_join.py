@@ -160,8 +160,10 @@ def _attach_stream(
     if salts is None:
         partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         salts = KEYED_STREAM_SALTS if keys else partitions
-    columns = [c for c in rows.columns if c != WINDOW] if salt_by is None else list(salt_by)
-    require_columns(rows, columns)
+    if salt_by is None:
+        # a map has no hash
+        salt_by = [f.name for f in rows.schema if not isinstance(f.dataType, T.MapType)]
+    require_columns(rows, salt_by)
 
     renamed = {WINDOW: "__on_window", **_renamed_keys(keys)}
     stats = (
@@ -169,7 +171,7 @@ def _attach_stream(
         .withColumnsRenamed(renamed)
         .withColumn("__on_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     )
-    salted = rows.withColumn(SALT, F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int"))
+    salted = rows.withColumn(SALT, F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int"))
     same_group = (F.col(WINDOW) == F.col("__on_window")) & _same_keys(keys)
     joined = salted.join(stats, same_group & (F.col(SALT) == F.col("__on_salt")), "left")
     return flatten_window(joined.drop(*renamed.values(), SALT, "__on_salt"))

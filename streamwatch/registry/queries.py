@@ -303,7 +303,9 @@ def forest_scores(spark, sf_dir):
     source = scored(events(spark, sf_dir)).withColumnRenamed("is_fraud", "target")
     source = source.drop("fraud_probability")
     features = ["value", "k", "user_id"]
-    model = train_classifier(source, features, "target", trees=20, depth=8)
+    model = train_classifier(
+        source, features, "target", trees=20, depth=8, spread_by=["event_id"]
+    )
     result = score_events(source, model, features)
     return shown(result, "event_id", "ts", "target", "is_fraud", "fraud_probability")
 

@@ -60,6 +60,14 @@ def test_invalid_messages_are_split_off_with_their_text(spark):
     assert {r._corrupt_record for r in invalid.collect()} == {None, "garbage", bad[2]}
 
 
+def test_message_columns_are_kept_beside_the_event(spark):
+    raw = spark.sql("""SELECT '{"Amount": 1}' AS value, 3 AS partition, 9L AS offset, now() AS timestamp""")
+    row = decode_events(raw, columns=["Amount"], keep=["partition", "offset"]).first()
+    assert row.asDict() == {"partition": 3, "offset": 9, "Amount": 1.0}
+    with pytest.raises(ValueError, match="timestamp"):
+        decode_events(raw, keep=["timestamp"])
+
+
 def test_round_trip_keeps_every_field(spark):
     row = {name: float(i) for i, name in enumerate(FEATURE_COLUMNS)}
     row |= {"Class": 1, "timestamp": "2024-01-01T00:00:00.123456"}

@@ -76,6 +76,15 @@ def test_same_seed_same_scores(training, model):
     assert first.exceptAll(score_events(training, again, ["a", "b"])).count() == 0
 
 
+def test_storage_does_not_matter_when_rows_are_spread_by_a_key(training):
+    def scores(table):
+        fitted = train_classifier(table, ["a", "b"], spread_by=["id"], **SMALL)
+        return score_events(training, fitted, ["a", "b"]).select("id", "fraud_probability")
+
+    first = scores(training.coalesce(1))
+    assert first.exceptAll(scores(training.repartition(7).orderBy(F.rand(1)))).count() == 0
+
+
 def test_saved_model_scores_the_same(training, model, tmp_path):
     save_model(model, str(tmp_path / "model"))
     loaded = load_model(str(tmp_path / "model"))
