@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
@@ -66,7 +67,12 @@ def train_classifier(
         seed=seed,
         **forest_params,
     )
-    return Pipeline(stages=[assembler, scaler, forest]).fit(known.select(*inputs))
+    # scaling and preparing the forest read the rows several times before it has its own copy
+    rows = known.select(*inputs).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return Pipeline(stages=[assembler, scaler, forest]).fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def _unlike(names: Sequence[str], others: Sequence[str]) -> list[str]:
