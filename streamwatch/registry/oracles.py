@@ -272,4 +272,13 @@ ORACLES: dict[str, str] = {
       SELECT event_id, ts, value, label, is_fraud, round(p, 6) AS fraud_probability
       FROM ({_linear(_events())})""",
     "stream_monitor": _monitor(),
+    "job_anomalies": _zscore(_events(), "ts, value", where=f"z > 3.0 AND {CLOSED}"),
+    "job_drift": f"""
+      SELECT window_start, window_end, count(*) AS transaction_count,
+             round(avg(value), 6) AS avg_amount, round(stddev_samp(value), 6) AS stddev_amount,
+             stddev_samp(value) > 50 AS has_data_drift,
+             CAST(sum(label) AS BIGINT) AS fraud_count,
+             round(avg(label) * 100, 6) AS fraud_rate_percent,
+             abs(avg(label) * 100 - 20) > 2 AS has_label_drift
+      FROM ({_events()}) GROUP BY window_start, window_end""",
 }

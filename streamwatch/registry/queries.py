@@ -46,6 +46,7 @@ from streamwatch.operators.scoring import score_events, train_classifier
 from streamwatch.operators.window_stats import amount_statistics
 from streamwatch.session import fresh_folder
 from streamwatch.sources.files import read_csv, stream_files
+from streamwatch.streaming.jobs import anomaly_job, drift_job
 from streamwatch.streaming.sinks import await_queries, read_report, to_files, to_reports
 
 EVENT = {"ts_col": "ts", "value_col": "value"}
@@ -463,6 +464,46 @@ def stream_monitor(spark, sf_dir):
     return shown(joined.drop("invalid_count"))
 
 
+# --- whole jobs ---------------------------------------------------------------
+
+
+def _message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as JSON messages of the transaction schema, labels as doubles."""
+    source = events(spark, sf_dir).select(
+        F.col("ts").alias("timestamp"),
+        F.col("value").alias("Amount"),
+        F.col("label").cast("double").alias("Class"),
+    )
+    folder = fresh_folder(spark, "messages")
+    encode_events(source).write.text(folder)
+    return stream_files(spark, folder, T.StructType([T.StructField("value", T.StringType())]), fmt="text")
+
+
+def job_anomalies(spark, sf_dir):
+    folder = fresh_folder(spark, "job-anomalies")
+    messages = _message_stream(spark, sf_dir)
+    where = {"path": f"{folder}/out", "checkpoint": f"{folder}/state", "drain": True}
+    await_queries([anomaly_job(messages, window=DAY, **where)])
+    found = spark.read.parquet(f"{folder}/out")
+    found = found.withColumn("ts", event_time(found, "timestamp"))
+    return shown(found.withColumnRenamed("Amount", "value"), "ts", "value", "window_start", *ZSCORE)
+
+
+def job_drift(spark, sf_dir):
+    folder = fresh_folder(spark, "job-drift")
+    messages = _message_stream(spark, sf_dir)
+    where = {"path": f"{folder}/out", "checkpoint": f"{folder}/state", "drain": True}
+    await_queries(
+        [drift_job(messages, window=DAY, data_threshold=50, baseline_rate_percent=20, **where)]
+    )
+    data, label = (read_report(spark, f"{folder}/out", name) for name in ("data", "label"))
+    return shown(
+        data.join(label, list(WINDOW)),
+        *WINDOW, "transaction_count", "avg_amount", "stddev_amount", "has_data_drift",
+        "fraud_count", "fraud_rate_percent", "has_label_drift",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_events": parse_events,
     "message_validity": message_validity,
@@ -503,4 +544,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_iqr": stream_iqr,
     "stream_scores": stream_scores,
     "stream_monitor": stream_monitor,
+    "job_anomalies": job_anomalies,
+    "job_drift": job_drift,
 }

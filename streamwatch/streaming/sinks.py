@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from streamwatch.operators.drift import report_parts
+from streamwatch.session import fresh_folder
 
 
 def _writer(df: DataFrame, mode: str, every: str | None, drain: bool) -> DataStreamWriter:
@@ -29,10 +30,10 @@ def to_console(
     drain: bool = False,
 ) -> StreamingQuery:
     """Print each batch untruncated, to watch a query by eye."""
+    # Spark's own default is a folder on the driver, which executors cannot reach
+    state = checkpoint or fresh_folder(df.sparkSession, "console")
     writer = _writer(df, mode, every, drain).format("console").option("truncate", False)
-    if checkpoint:
-        writer = writer.option("checkpointLocation", checkpoint)
-    return writer.start()
+    return writer.option("checkpointLocation", state).start()
 
 
 def to_files(
