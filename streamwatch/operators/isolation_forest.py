@@ -25,7 +25,7 @@ CONTAMINATION = 0.05
 # Candidates drawn per row that a tree needs; a tree runs short of rows with a
 # probability below 1e-100.
 CANDIDATES = 4
-MAX_NODES = 20_000_000
+MAX_NODES = 2_000_000
 ROWS_PER_TASK = 20_000
 
 # `child` is the left child, the right one follows it; a leaf has none (-1).
