@@ -8,12 +8,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from streamwatch.functions.values import finite, z_score
-from streamwatch.operators.window_stats import Measures, moments, percentiles, per_window
+from streamwatch.operators.window_stats import (
+    ACCURACY,
+    Measures,
+    moments,
+    per_window,
+    percentiles,
+)
 from streamwatch.plans.group_join import attach_window_statistics
 from streamwatch.schema import require_columns
 
-ACCURACY = 10_000  # Spark's default for approximate percentiles
-
 
 def zscore_anomalies(
     df: DataFrame,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from streamwatch.functions.values import all_of, finite
 from streamwatch.operators.window_stats import (
+    ACCURACY,
     Measures,
     extremes,
     moments,
@@ -17,8 +18,6 @@ from streamwatch.operators.window_stats import (
 )
 from streamwatch.schema import require_columns
 
-ACCURACY = 10_000  # Spark's default for approximate percentiles
-
 # Alert defaults of the reports.
 DATA_THRESHOLD = 0.1
 LABEL_THRESHOLD = 0.02

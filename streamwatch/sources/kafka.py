@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from streamwatch.functions.messages import encode_events
+from streamwatch.functions.messages import encode_events, stamp_missing_time
 
 # The defaults of the pipelines.
 SERVERS = "localhost:9092"
@@ -52,16 +52,25 @@ def read_topic(spark: SparkSession, servers: str = SERVERS, topic: str = TOPIC,
     return spark.readStream.format("kafka").options(**source_options(servers, topic, **options)).load()
 
 
+def outgoing(df: DataFrame, key_col: str | None = None, ts_col: str = "timestamp") -> DataFrame:
+    """The messages of ``publish``: each row as JSON, stamped now if it has no time."""
+    return encode_events(stamp_missing_time(df, ts_col), key_col)
+
+
 def publish(
     df: DataFrame,
     servers: str = SERVERS,
     topic: str = TOPIC,
     *,
     key_col: str | None = None,
+    ts_col: str = "timestamp",
     checkpoint: str | None = None,
 ) -> StreamingQuery | None:
-    """Send each row as a JSON message; a stream needs a ``checkpoint`` folder."""
-    messages = encode_events(df, key_col)
+    """Send each row as a JSON message; a stream needs a ``checkpoint`` folder.
+
+    Without ``key_col`` messages spread evenly over the partitions of the topic.
+    """
+    messages = outgoing(df, key_col, ts_col)
     options = sink_options(servers, topic)
     if not df.isStreaming:
         messages.write.format("kafka").options(**options).save()

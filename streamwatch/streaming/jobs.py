@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from streamwatch.functions.messages import decode_events
 from streamwatch.operators.anomaly import flagged_only, iqr_anomalies, zscore_anomalies
 from streamwatch.operators.drift import (
+    ACCURACY,
     BASELINE_RATE_PERCENT,
     DATA_THRESHOLD,
     LABEL_THRESHOLD,
@@ -55,6 +56,7 @@ def anomaly_job(
     window: str = "5 minutes",
     threshold: float = 3.0,
     multiplier: float = 1.5,
+    accuracy: int = ACCURACY,
     forest: IsolationForestModel | None = None,
     delay: str = DELAY,
     path: str | None = None,
@@ -76,7 +78,9 @@ def anomaly_job(
         if method == "zscore":
             judged = zscore_anomalies(events, window=window, threshold=threshold, delay=delay)
         else:
-            judged = iqr_anomalies(events, window=window, multiplier=multiplier, delay=delay)
+            judged = iqr_anomalies(
+                events, window=window, multiplier=multiplier, delay=delay, accuracy=accuracy
+            )
     return _append(flagged_only(judged), path, checkpoint, every, drain)
 
 
@@ -89,6 +93,7 @@ def drift_job(
     data_threshold: float = DATA_THRESHOLD,
     label_threshold: float = LABEL_THRESHOLD,
     baseline_rate_percent: float = BASELINE_RATE_PERCENT,
+    accuracy: int = ACCURACY,
     path: str | None = None,
     checkpoint: str | None = None,
     every: str | None = None,
@@ -97,7 +102,7 @@ def drift_job(
     """Keep the drift reports and alerts up to date; with a model, those on predictions too."""
     if model is None:
         events = decode_events(messages, columns=["timestamp", "Amount", "Class"])
-        report = monitoring_report(events, window=window, delay=delay)
+        report = monitoring_report(events, window=window, delay=delay, accuracy=accuracy)
     else:
         report = monitoring_report(
             score_events(decode_events(messages), model),
@@ -105,6 +110,7 @@ def drift_job(
             prediction_col="is_fraud",
             window=window,
             delay=delay,
+            accuracy=accuracy,
         )
     report = data_drift_alerts(report, data_threshold)
     report = label_drift_alerts(report, label_threshold, baseline_rate_percent)

@@ -4,7 +4,8 @@ from pyspark.errors import AnalysisException
 from streamwatch.schema import TABLE_SCHEMA
 from streamwatch.session import checkpoint_root, fresh_folder
 from streamwatch.sources.files import read_csv, stream_files
-from streamwatch.sources.kafka import publish, sink_options, source_options
+from streamwatch.functions.messages import decode_events
+from streamwatch.sources.kafka import outgoing, publish, sink_options, source_options
 
 
 def test_csv_with_header(spark, tmp_path):
@@ -42,6 +43,15 @@ def test_kafka_sink_options():
     }
 
 
+def test_outgoing_messages_are_stamped_and_readable(spark):
+    row = ",".join(["1.5D AS " + name for name in TABLE_SCHEMA.names if name != "Class"])
+    table = spark.sql(f"SELECT {row}, 1.0D AS Class, 'c7' AS card")
+    message = outgoing(table, key_col="card").first()
+    assert message.key == "c7" and '"Class":1.0' in message.value
+    event = decode_events(outgoing(table)).first()
+    assert event.Class == 1 and event.V28 == 1.5 and event.timestamp > "2025"
+
+
 def test_publishing_a_stream_needs_a_checkpoint(spark, tmp_path):
     stream = stream_files(spark, str(tmp_path), TABLE_SCHEMA, fmt="csv")
     with pytest.raises(ValueError, match="checkpoint"):
