@@ -33,7 +33,9 @@ HOT_SHARE = 1e-4
 # Up to here measured statistics are broadcast whole.
 MEASURED_BROADCAST_BYTES = 128 * 2**20
 
-KEYED_STREAM_SALTS = 8
+# Copies of the statistics of each key on a stream; raise `salts` if one key holds
+# most of it, as its events spread over that many tasks.
+KEYED_STREAM_SALTS = 32
 
 
 def attach_window_statistics(

@@ -135,3 +135,31 @@ def test_statistics_agree_with_the_scores(skewed):
     for row in zscore_anomalies(skewed).select("window_start", "avg_amount", "stddev_amount").distinct().collect():
         assert math.isclose(stats[row.window_start].avg_amount, row.avg_amount)
         assert math.isclose(stats[row.window_start].stddev_amount, row.stddev_amount)
+
+
+def test_quartiles_match_brute_force(skewed):
+    groups = {}
+    for r in skewed.collect():
+        groups.setdefault((int(r.timestamp[14:16]) // 5, r.user), []).append(r.Amount)
+    bounds = iqr_bounds(skewed, keys=["user"], accuracy=100_000).collect()
+    assert len(bounds) == len(groups)
+    for row in bounds:
+        amounts = sorted(groups[row.window_start.minute // 5, row.user])
+        q1, q3 = (amounts[math.ceil(p * len(amounts)) - 1] for p in (0.25, 0.75))
+        assert (row.q1, row.q3) == (q1, q3)
+        assert math.isclose(row.upper_bound, q3 + 1.5 * (q3 - q1))
+
+
+def test_windows_before_the_epoch(transactions):
+    rows = transactions([("1969-12-31T23:58:00", 1.0, 0), ("1969-12-31T23:54:00", 3.0, 0)])
+    starts = sorted(str(r.window_start) for r in amount_statistics(rows).collect())
+    assert starts == ["1969-12-31 23:50:00", "1969-12-31 23:55:00"]
+
+
+@pytest.mark.parametrize("broadcast_bytes", [None, -1])
+def test_empty_tables(transactions, broadcast_bytes):
+    nothing = transactions([])
+    options = {"keys": ["Class"], "broadcast_bytes": broadcast_bytes}
+    assert zscore_anomalies(nothing, **options).count() == 0
+    assert iqr_anomalies(nothing, **options).count() == 0
+    assert iqr_bounds(nothing).count() == 0

@@ -1,3 +1,6 @@
+import datetime as dt
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -100,3 +103,23 @@ def test_first_events(transactions):
     assert [r.Amount for r in first_events(rows, 2, ["timestamp"]).collect()] == [1.0, 2.0]
     assert first_events(rows, 0, ["timestamp"]).count() == 3
     assert first_events(rows, None, ["timestamp"]).count() == 3
+
+
+def test_random_events_survive_the_wire(spark):
+    rng = random.Random(11)
+
+    def number():
+        kind = rng.random()
+        if kind < 0.1:
+            return None
+        if kind < 0.2:
+            return rng.choice([0.0, -0.0, 1e-300, 1.7976931348623157e308, -5e-324, 2.0**53])
+        return rng.uniform(-1, 1) * 10 ** rng.randint(-12, 12)
+
+    rows = []
+    for _ in range(300):
+        moment = dt.datetime(1971, 1, 1) + dt.timedelta(microseconds=rng.randrange(10**16))
+        numbers = [number() for _ in FEATURE_COLUMNS]
+        rows.append((*numbers, rng.choice([0, 1, None]), moment.isoformat(timespec="microseconds")))
+    source = spark.createDataFrame(rows, EVENT_SCHEMA)
+    assert decode_events(encode_events(source)).collect() == source.collect()

@@ -286,6 +286,26 @@ def test_console_jobs_run(messages):
     assert "Console" in first.sink.description and first.numInputRows == 182
 
 
+def test_files_by_partition(feed):
+    feed.add(events(range(0, 3)))
+    path = feed.folder / "split"
+    query = to_files(
+        feed.stream(), str(path), str(feed.folder / "state"), partition_by=["Class"], drain=True
+    )
+    await_queries([query])
+    assert {p.name for p in path.glob("Class=*")} == {f"Class={r[3]}" for r in feed.rows}
+    assert feed.spark.read.parquet(str(path)).count() == len(feed.rows)
+
+
+def test_csv_files_as_a_stream(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("a,b\n1,x\n2,y\n")
+    stream = stream_files(spark, str(tmp_path / "in"), "a int, b string", fmt="csv")
+    query = to_files(stream, str(tmp_path / "out"), str(tmp_path / "state"), drain=True)
+    await_queries([query])
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).collect())) == [(1, "x"), (2, "y")]
+
+
 def test_file_sinks_need_a_checkpoint(messages):
     with pytest.raises(ValueError, match="checkpoint"):
         anomaly_job(messages[0], path="/nowhere")
