@@ -89,8 +89,10 @@ def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events as one batch, since the files of a table are in no order of time."""
     schema = table(spark, sf_dir, "events").schema
-    return _labelled(stream_files(spark, sf_dir, schema, glob="events.parquet"))
+    # as a pattern, the path may be a single file or a folder of files
+    return _labelled(stream_files(spark, f"{sf_dir}/events.parque[t]", schema))
 
 
 def _labelled(df: DataFrame) -> DataFrame:

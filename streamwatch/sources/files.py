@@ -19,13 +19,13 @@ def stream_files(
     schema: T.StructType,
     *,
     fmt: str = "parquet",
-    glob: str | None = None,
     max_files: int | None = None,
 ) -> DataFrame:
-    """The files of a folder as a stream; ``max_files`` bounds a micro-batch."""
+    """The files of a folder, or of a path pattern, as a stream.
+
+    ``max_files`` bounds a micro-batch.
+    """
     reader = spark.readStream.format(fmt).schema(schema)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if fmt == "csv":

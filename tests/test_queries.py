@@ -20,6 +20,22 @@ def test_query_equals_sql(spark, name):
         assert types_differ(result, connection, SQL[name]) is None
 
 
+@pytest.fixture(scope="module")
+def split_tables(spark, tmp_path_factory):
+    """The same tables in several files, in another order."""
+    folder = tmp_path_factory.mktemp("split")
+    for name in ("events", "lineitem"):
+        rows = spark.read.parquet(f"{TESTDATA}/{name}.parquet").repartition(5)
+        rows.write.parquet(str(folder / f"{name}.parquet"))
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", sorted(n for n in SQL if not n.startswith("job")))
+def test_query_equals_sql_on_split_tables(spark, split_tables, name):
+    got = QUERIES[name](spark, split_tables).toPandas()
+    assert difference(got, connect(TESTDATA).execute(SQL[name]).df()) is None
+
+
 def test_only_trained_models_have_no_sql():
     assert set(QUERIES) - set(SQL) == {"forest_scores", "isolation_scores"}
     assert set(SQL) <= set(QUERIES)
