@@ -5,7 +5,8 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from streamwatch.session import fresh_folder
 
@@ -30,6 +31,11 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+def constant_array(values: list[float]) -> Column:
+    """An array of doubles that is part of the plan; it is built once, not for each row."""
+    return F.expr(f"array({', '.join(f'{value!r}D' for value in values)})")
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

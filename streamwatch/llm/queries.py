@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from streamwatch.session import fresh_folder
 
-from .common import table
+from .chat import fold_events, format_conversations, read_turns
+from .common import stored, table
 from .packing import pack_documents
+from .quality_rules import fit_target_ratio, quality_rules
+from .secret_scan import listed, scan_secrets
 from .token_store import read_tokens, write_tokens
 
 
@@ -28,11 +31,68 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def trusted_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents labelled as good: the target of the quality rules."""
+    return table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_rules(docs, fit_target_ratio(docs, trusted_documents(spark, sf_dir)))
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(table(spark, sf_dir, "documents"))
+    of_kind = lambda kind: F.size(F.filter("base", lambda span: span["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        of_kind(0).alias("n_assign"),
+        of_kind(1).alias("n_access"),
+        of_kind(2).alias("n_hex"),
+        F.sha2(listed(F.col("base")), 256).alias("base_sha256"),
+        listed(F.sort_array(F.concat("base", "added"))).alias("spans"),
+    )
+
+
+def conversation_events(conversations: DataFrame) -> DataFrame:
+    """The log of a chat service that would have led to these turns: the first half of a message is streamed,
+    thrown away and generated again, then the rest is streamed."""
+    rows = conversations.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    # repeated rows are turns of their own
+    turns = rows.groupBy("conv_id", "turn").agg(F.sort_array(F.collect_list(F.struct("role", "text"))).alias("said"))
+    turns = turns.select("conv_id", "turn", F.posexplode("said").alias("copy", "said"))
+    half = F.floor(F.length("said.text") / 2).cast("int")
+    first = F.substring(F.col("said.text"), F.lit(1), half)
+    rest = F.substring(F.col("said.text"), half + 1, F.length("said.text"))
+    events = [("delta", first), ("regenerate", first), ("delta", rest)]
+    log = F.array(*(F.struct(F.lit(k).alias("sequence"), F.lit(kind).alias("operation"), text.alias("text")) for k, (kind, text) in enumerate(events)))
+    return turns.select("conv_id", F.struct("turn", "copy").alias("message"), F.col("said.role").alias("role"), F.inline(log))
+
+
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "\\### Assistant: </turn> ok"
+    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    events = conversation_events(table(spark, sf_dir, "conversations").select(more.columns).union(more))
+    output = read_turns(stored(format_conversations(fold_events(events)), "conversations"))
+    written = F.array_join(F.transform("turns", lambda turn: F.concat(turn["role"], F.lit("\n"), turn["text"], F.lit("\n"))), "")
+    return output.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(written, 256).alias("turns_sha256"),
+        F.length("loss_text").cast("long").alias("loss_chars"),
+        F.sha2("loss_text", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), capacity=2048, end_id=0)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_store": op1_token_store,
+    "op4_quality_rules": op4_quality_rules,
+    "op8_secret_scan": op8_secret_scan,
+    "op9_chat_format": op9_chat_format,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
