@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from streamwatch.session import fresh_folder
 
+from .archives import mark_revisits, read_arc, read_warc, write_arc, write_warc
 from .chat import fold_events, format_conversations, read_turns
 from .common import stored, table
+from .decontamination import find_items
+from .license_scan import scan_licenses
 from .packing import pack_documents
 from .quality_rules import fit_target_ratio, quality_rules
 from .secret_scan import listed, scan_secrets
@@ -31,6 +34,10 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def trusted_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents labelled as good: the target of the quality rules."""
     return table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
@@ -41,6 +48,24 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(docs, fit_target_ratio(docs, trusted_documents(spark, sf_dir)))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as a legacy archive, converted, written and read back."""
+    records = read_arc(write_arc(table(spark, sf_dir, "pages"), version=1))
+    page = F.nullif(F.regexp_extract(F.col("http_head").cast("string"), r"X-Source-Id: ([0-9-]*)", 1), F.lit("")).cast("long")
+    archives = stored(write_warc(mark_revisits(records, page, least_bytes=0)), "warc")
+    return read_warc(archives, payloads=False).select(
+        F.col("source_id").cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to_id").cast("long").alias("refers_to"),
+    )
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_secrets(table(spark, sf_dir, "documents"))
     of_kind = lambda kind: F.size(F.filter("base", lambda span: span["kind"] == kind)).cast("long")
@@ -91,7 +116,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_store": op1_token_store,
+    "op2_license_scan": op2_license_scan,
     "op4_quality_rules": op4_quality_rules,
+    "op5_decontamination": op5_decontamination,
+    "op7_arc_to_warc": op7_arc_to_warc,
     "op8_secret_scan": op8_secret_scan,
     "op9_chat_format": op9_chat_format,
     "op10_best_fit_packing": op10_best_fit_packing,
