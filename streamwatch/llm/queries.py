@@ -14,6 +14,7 @@ from .chat import fold_events, format_conversations, read_turns
 from .common import stored, table
 from .decontamination import find_items
 from .license_scan import scan_licenses
+from .near_dedup import near_duplicates
 from .packing import pack_documents
 from .quality_rules import fit_target_ratio, quality_rules
 from .secret_scan import listed, scan_secrets
@@ -52,6 +53,10 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), words=3, similarity=0.85)
+
+
 def op7_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages as a legacy archive, converted, written and read back."""
     records = read_arc(write_arc(table(spark, sf_dir, "pages"), version=1))
@@ -119,6 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_license_scan": op2_license_scan,
     "op4_quality_rules": op4_quality_rules,
     "op5_decontamination": op5_decontamination,
+    "op6_near_dedup": op6_near_dedup,
     "op7_arc_to_warc": op7_arc_to_warc,
     "op8_secret_scan": op8_secret_scan,
     "op9_chat_format": op9_chat_format,
