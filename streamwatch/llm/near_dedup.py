@@ -31,10 +31,10 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import as_texts, groups_of, stored, text_bytes
+from .common import as_texts, free_name, groups_of, stored, text_bytes
 
 BITS = 16
 CHUNK = 5
@@ -342,7 +342,14 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
 
 def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """``docs`` without documents that are linked, over others or directly, with one of a smaller id."""
+    """``docs`` with one document of each group: that with the smallest id. Of rows with one id, that with the
+    smallest hash of its text stays; rows without id all stay."""
     found = near_duplicates(docs, id_col=id_col, text_col=text_col, words=words, similarity=similarity)
+    found = stored(found.filter("doc_id is not null"), "classes")
     gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    left = docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    if found.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        return left
+    number = free_name(docs, "number")
+    order = Window.partitionBy(id_col).orderBy(F.xxhash64(text_col), text_col)
+    return left.withColumn(number, F.row_number().over(order)).filter((F.col(number) == 1) | F.col(id_col).isNull()).drop(number)

@@ -16,6 +16,7 @@ from .decontamination import find_items
 from .license_scan import scan_licenses
 from .near_dedup import near_duplicates
 from .packing import pack_documents
+from .quality_model import fit_quality_model, score_quality
 from .quality_rules import fit_target_ratio, quality_rules
 from .secret_scan import listed, scan_secrets
 from .token_store import read_tokens, write_tokens
@@ -39,6 +40,14 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learnt from two thirds of the labelled documents; the rest is held out."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    model = fit_quality_model(docs, table(spark, sf_dir, "labels").filter(~held_out))
+    return score_quality(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def trusted_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents labelled as good: the target of the quality rules."""
     return table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
@@ -122,6 +131,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_store": op1_token_store,
     "op2_license_scan": op2_license_scan,
+    "op3_quality_classifier": op3_quality_classifier,
     "op4_quality_rules": op4_quality_rules,
     "op5_decontamination": op5_decontamination,
     "op6_near_dedup": op6_near_dedup,
