@@ -40,7 +40,7 @@ def least_distance(pattern: str, text: str, most: int) -> tuple[int, int] | None
     for k, c in enumerate(pattern):
         places[c] = places.get(c, 0) | 1 << k
     full, last = (1 << m) - 1, 1 << (m - 1)
-    up, down, score, best = full, 0, m, (most + 1, 0)
+    up, down, score, best = full, 0, m, (min(m, most + 1), 0)
     for k, c in enumerate(text):
         equal = places.get(c, 0)
         vertical = equal | down

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_texts, groups_of, stored, text_bytes
+from .common import as_texts, groups_of, hash_sample, stored, text_bytes
 
 BLOCK_BYTES = 2 << 20
 _SPACE = np.zeros(256, bool)
@@ -218,7 +218,7 @@ def fit_quality_model(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_
     model = QualityModel.from_sums(word_vectors(docs, settings, text_col), settings)
     known = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("label")).filter("_id is not null and label in (0, 1)")
     known = known.groupBy("_id").agg(F.min("label").alias("label"), F.max("label").alias("other")).filter("label = other")
-    known = known.orderBy(F.xxhash64("_id"), "_id").limit(settings.labelled_rows).select("_id", "label")
+    known = hash_sample(known, "_id", settings.labelled_rows).select("_id", "label")
     # at most ``labelled_rows`` ids and labels
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(known), "_id").select("label", "_text", "_id")
 

@@ -22,7 +22,7 @@ from math import log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import constant_array, free_name
+from .common import constant_array, free_name, hash_sample
 
 BREAKS = r"[\x20\x09-\x0D]+"
 NOT_BREAK = r"[^\x20\x09-\x0D]"
@@ -58,7 +58,7 @@ def fit_target_ratio(docs: DataFrame, trusted: DataFrame, *, id_col: str = "doc_
     """Weight of each bucket: log probability under the trusted documents less that under all.
     ``trusted`` has a column ``id_col``; raw counts are over all of ``docs``."""
     some = trusted.select(F.col(id_col).alias("_id")).filter("_id is not null").distinct()
-    some = some.orderBy(F.xxhash64("_id"), "_id").limit(trusted_rows).withColumn("_trusted", F.lit(1))
+    some = hash_sample(some, "_id", trusted_rows).withColumn("_trusted", F.lit(1))
     rows = _hashed(docs, F.col(text_col), [F.col(id_col).alias("_id")])
     h = F.col("_h")
     rows = rows.join(F.broadcast(some), "_id", "left").select(  # at most ``trusted_rows`` ids

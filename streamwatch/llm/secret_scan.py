@@ -23,7 +23,7 @@ from math import log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import constant_array, free_name, stored
+from .common import constant_array, free_name, hash_sample, stored
 
 #: In this order spans of equal start are listed. Fixed values.
 KINDS = ("assign", "access", "hex", "markov")
@@ -35,10 +35,14 @@ ASSIGN_LENGTH = 12
 #: Characters of a candidate, and what a candidate must have besides.
 CANDIDATE = r"[A-Za-z0-9+/_=-]"
 MIN_LENGTH = 16
-THRESHOLD = 1.0
+#: A word or name that stands by itself, without digits.
+ORDINARY = r"(?<![A-Za-z0-9+/_=-])[A-Za-z_]{4,}(?![A-Za-z0-9+/_=-])"
+THRESHOLD = 0.0
 #: Strings of each label that a model is trained on, at most: those with the smallest hash.
 SAMPLE_ROWS = 20_000
 SAMPLE_DOCS = 2_000
+#: Pairs of each first character that are counted in advance, and counts of each character.
+PRIOR_PAIRS = 50.0
 SMOOTHING = 0.5
 _CODES = 128
 
@@ -95,23 +99,28 @@ def _pairs(value: Column) -> Column:
 def train_character_models(samples: DataFrame, *, sample_rows: int = SAMPLE_ROWS, smoothing: float = SMOOTHING) -> list[float]:
     """Log-likelihood ratio of each pair of characters. ``samples``: value, label (1 random, 0 ordinary);
     of each label the ``sample_rows`` values with the smallest hash are used."""
-    values = samples.filter("length(value) >= 2 and value rlike '^[ -~]+$'").distinct()
-    parts = [values.filter(F.col("label") == label).orderBy(F.xxhash64("value"), "value").limit(sample_rows) for label in (0, 1)]
+    values = stored(samples.filter("length(value) >= 2 and value rlike '^[!-~]+$'").distinct(), "samples")
+    parts = [hash_sample(values.filter(F.col("label") == label), "value", sample_rows) for label in (0, 1)]
     pairs = parts[0].union(parts[1]).select("label", F.explode(_pairs(F.col("value"))).alias("pair"))
     counts = pairs.groupBy("label", "pair").count().collect()  # at most 2 x 128 x 128 rows
     return _ratios({(row.label, row.pair): row["count"] for row in counts}, smoothing)
 
 
 def _ratios(counts: dict[tuple[int, int], int], smoothing: float) -> list[float]:
-    """log P(b | a) of random strings less that of ordinary ones."""
+    """log P(b | a) of random strings less that of ordinary ones. A pair that was not seen is as likely as its
+    second character is among all of the label's."""
     printable, tables = range(33, 127), []
     for label in (0, 1):
+        single = dict.fromkeys(printable, smoothing)
+        for (own, pair), n in counts.items():
+            if own == label:
+                single[pair % _CODES] += n
+        total = sum(single.values())
         table = [0.0] * _CODES**2
         for a in printable:
-            row = [counts.get((label, a * _CODES + b), 0) + smoothing for b in printable]
-            total = log(sum(row))
+            row = [counts.get((label, a * _CODES + b), 0) for b in printable]
             for b, n in zip(printable, row):
-                table[a * _CODES + b] = log(n) - total
+                table[a * _CODES + b] = log((n + PRIOR_PAIRS * single[b] / total) / (sum(row) + PRIOR_PAIRS))
         tables.append(table)
     return [random - ordinary for ordinary, random in zip(*tables)]
 
@@ -120,8 +129,9 @@ def _samples(docs: DataFrame, scanned: DataFrame, id_col: str, text_col: str, sa
     """What base patterns find is random. Words of the ``sample_docs`` documents with the smallest hash of their
     id are ordinary, if they have no digit and are no find."""
     random = scanned.select(F.explode("base").alias("span")).select(F.col("span.value").alias("value"), F.lit(1).alias("label"))
-    some = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).orderBy(F.xxhash64("id"), "id").limit(sample_docs)
-    words = some.select(F.explode(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit("[A-Za-z_]{4,}"), F.lit(0))).alias("value"))
+    chosen = F.broadcast(hash_sample(docs.select(F.col(id_col).alias("id")), "id", sample_docs).distinct())  # at most ``sample_docs`` ids
+    some = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(chosen, "id")
+    words = some.select(F.explode(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(ORDINARY), F.lit(0))).alias("value"))
     return random.unionByName(words.select("value", F.lit(0).alias("label")))
 
 

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import shuffle_partitions, table
+from .common import hash_sample, shuffle_partitions, table
 from .tokens import encoder
 
 SEGMENTS = """part int, segment int, dictionary_hash string, first_id long, last_id long, n_tokens long,
@@ -53,7 +53,8 @@ def train_dictionary(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id",
     dictionary gives right results, a fitting one gives smaller frames. Empty when there are too few
     documents to learn from."""
     short = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(F.length("text") <= sample_chars)
-    drawn = short.orderBy(F.xxhash64("id"), "id").limit(samples).select("text")
+    chosen = F.broadcast(hash_sample(short.select("id"), "id", samples))  # at most ``samples`` ids
+    drawn = short.join(chosen.distinct(), "id").select("text")
 
     def serialize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -1,0 +1,233 @@
+import base64
+import hashlib
+import random
+import re
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from streamwatch.llm import archives, chat, decontamination, license_scan
+
+from .conftest import ODD
+
+
+# licences
+
+
+def test_expressions():
+    assert license_scan.postfix("MIT OR Apache-2.0 AND ISC") == ["MIT", "Apache-2.0", "ISC", "AND", "OR"]
+    assert license_scan.evaluate("(MIT OR GPL-3.0) AND ISC") == (True, ["mit", "gpl-3.0", "isc"])
+    assert license_scan.evaluate("GPL-2.0 WITH Classpath-exception-2.0 OR mit") == (True, ["gpl-2.0", "mit"])
+    assert license_scan.evaluate("MIT AND GPL-3.0")[0] is False
+    for broken in ("", "MIT OR", "(MIT", "MIT)", "MIT ISC", "AND MIT", "MIT OR $"):
+        with pytest.raises(ValueError):
+            license_scan.evaluate(broken)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.recursive(st.sampled_from(["MIT", "GPL-3.0"]), lambda x: st.tuples(x, st.sampled_from(["AND", "OR"]), x).map(lambda t: f"({t[0]} {t[1]} {t[2]})"), max_leaves=8))
+def test_expressions_against_python(expression):
+    plain = expression.replace("MIT", "True").replace("GPL-3.0", "False").replace("AND", "and").replace("OR", "or")
+    assert license_scan.evaluate(expression)[0] is eval(plain)
+
+
+def _plain_scan(text):
+    lower = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    words = re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", lower)
+    places, labels = [], set()
+    for phrase, label in license_scan.BASE_PHRASES.items():
+        own = phrase.split()
+        for k in range(len(words)):
+            if words[k : k + len(own)] == own:
+                places.append(k)
+                labels.add(label)
+    return len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(labels))
+
+
+def test_license_places(documents):
+    draw = random.Random(2)
+    parts = ["MIT", "license", "Apache", "general", "public", "the", "É", "x9", "License,", "mit-license", "\n"]
+    texts = [(k, " ".join(draw.choices(parts, k=30))) for k in range(60)]
+    for row in license_scan.scan_licenses(documents(texts)).collect():
+        assert tuple(row)[1:6] == _plain_scan(texts[row.doc_id][1])
+
+
+def test_license_tags(documents):
+    texts = [(1, "# SPDX-License-Identifier: (MIT OR GPL-2.0-only) */\nx"), (2, "// spdx-license-identifier: GPL-2.0 AND"), (3, "All rights reserved."), (4, "plain")]
+    rows = {row.doc_id: row for row in license_scan.scan_licenses(documents(texts)).collect()}
+    assert rows[1].labels == "gpl-2.0-only,mit" and rows[1].allowed is True and rows[1].score == 1
+    assert rows[2].expressions == ["GPL-2.0 AND"] and rows[2].allowed is None and rows[2].labels == ""
+    assert rows[3].labels == "reserved" and 0 < rows[3].score < 1 and rows[4].score == 0
+
+
+def test_licenses_of_odd_and_no_documents(odd, no_docs):
+    rows = license_scan.scan_licenses(odd.withColumn("n_words", F.lit("x"))).collect()
+    assert sorted(row.n_words for row in rows) == sorted(_plain_scan(row[1])[0] for row in ODD)
+    assert license_scan.scan_licenses(no_docs).count() == 0
+
+
+# test items
+
+
+def _distance(a, b):
+    """Least edits between ``a`` and any substring of ``b``."""
+    row = [0] * (len(b) + 1)
+    for i, c in enumerate(a):
+        new = [i + 1]
+        for j, d in enumerate(b):
+            new.append(min(row[j] + (c != d), row[j + 1] + 1, new[j] + 1))
+        row = new
+    return min(row)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text("abc", min_size=1, max_size=12), st.text("abc", max_size=20), st.integers(0, 4))
+def test_bit_parallel_distance(pattern, text, most):
+    plain = _distance(pattern, text)
+    found = decontamination.least_distance(pattern, text, most)
+    assert (found[0] if found else None) == (plain if plain <= most else None)
+
+
+def test_items_against_all_distances(spark, documents):
+    draw = random.Random(4)
+    passage = lambda n: " ".join("".join(draw.choices("abcdefg", k=draw.randint(2, 7))) for _ in range(n))
+    items = [(k, passage(12)) for k in range(6)] + [(9, None), (10, "short one"), (11, "")]
+    items.append((12, items[0][1]))
+    texts = []
+    for k in range(40):
+        text = passage(15)
+        if k % 2:
+            own = list(items[k % 6][1])
+            for _ in range(draw.randint(0, 7)):
+                at = draw.randrange(len(own))
+                own[at : at + draw.randint(0, 2)] = draw.choices("xyz", k=draw.randint(0, 1))
+            text += "\n " + "".join(own).upper() + "  " + passage(5)
+        texts.append((k, text))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    expected = set()
+    for doc, text in texts:
+        for item, pattern in items:
+            pattern = decontamination.normalized(pattern)
+            if len(pattern) >= 32:
+                budget = max(0, min(int(0.05 * len(pattern)), len(pattern) // 20 - 1))
+                distance = _distance(pattern, decontamination.normalized(text))
+                if distance <= budget:
+                    expected.add((doc, item, distance))
+    docs = documents(texts)
+    for chars in (1, 10**6):  # one item a block, and one block
+        found = decontamination.find_items(docs, benchmark, block_chars=chars).collect()
+        assert {(row.doc_id, row.item_id, row.distance) for row in found} == expected and len(found) == len(expected)
+        clean = decontamination.drop_contaminated(docs, benchmark, block_chars=chars)
+        assert clean.columns == docs.columns
+        assert {row.doc_id for row in clean.collect()} == {k for k, _ in texts} - {doc for doc, _, _ in expected}
+    assert 0 < len({doc for doc, _, _ in expected}) < 20
+
+
+def test_items_in_odd_and_no_documents(spark, odd, no_docs):
+    benchmark = spark.createDataFrame([(1, ODD[0][1])], "item_id long, text string")
+    found = decontamination.find_items(odd.withColumn("item_id", F.lit(0)), benchmark).collect()
+    assert sorted((row.doc_id, row.start) for row in found) == [(1, 0), (5, 0), (5, 0)]
+    assert decontamination.find_items(no_docs, benchmark).count() == 0
+    assert decontamination.find_items(odd, benchmark.limit(0)).count() == 0
+    assert decontamination.drop_contaminated(odd, benchmark.limit(0)).count() == len(ODD)
+
+
+# archives
+
+PAGES = [
+    (1, "http://a.example/x y", "<p>one</p>"), (2, None, "<p>one</p>"), (3, "", None), (4, "http://b.example/\n", ""), (5, "http://c.example", "ä\r\n\r\nWARC/1.0 \n\n"),
+    (6, "http://c.example", "ä\r\n\r\nWARC/1.0 \n\n"), (6, "http://c.example", "ä\r\n\r\nWARC/1.0 \n\n"), (None, "http://d.example", "<p>one</p>"), (8, "http://e.example", "x" * 100_000),
+]
+
+
+def _converted(pages, version=1, least=0, **sizes):
+    records = archives.read_arc(archives.write_arc(pages, version=version, **sizes))
+    page = F.nullif(F.regexp_extract(F.col("http_head").cast("string"), r"X-Source-Id: ([0-9-]*)", 1), F.lit("")).cast("long")
+    return archives.read_warc(archives.write_warc(archives.mark_revisits(records, page, least_bytes=least), **sizes))
+
+
+@pytest.mark.parametrize("version", [1, 2])
+def test_pages_through_both_formats(spark, version):
+    pages = spark.createDataFrame(PAGES, "page_id long, url string, html string").withColumn("name", F.lit("clash")).repartition(3)
+    rows = _converted(pages, version, archive_bytes=200).collect()
+    newest = {}
+    for page, _, html in PAGES:
+        newest[html or ""] = max(newest.get(html or "", -1), page if page is not None else -1)
+    assert len(rows) == len(PAGES)
+    bodies = {page: (html or "").encode() for page, _, html in PAGES}
+    for row in rows:
+        page = None if row.source_id is None else int(row.source_id)
+        body = bodies[page]
+        assert (row.payload_bytes, row.payload_digest) == (len(body), base64.b32encode(hashlib.sha1(body).digest()).decode())
+        largest = newest[body.decode()]
+        assert row.record_type == ("response" if page == largest else "revisit")
+        assert row.refers_to_id == (None if page == largest else str(largest))
+        assert (bytes(row.payload) if page == largest else row.payload) == (body if page == largest else None)
+        assert row.record_id.startswith("urn:uuid:") and row.date == "2024-01-01T00:00:00Z"
+    ids = {int(row.source_id): row.record_id for row in rows if row.record_type == "response"}
+    assert all(row.refers_to == ids[int(row.refers_to_id)] for row in rows if row.record_type == "revisit")
+
+
+def test_small_payloads_are_all_responses(spark):
+    pages = spark.createDataFrame(PAGES, "page_id long, url string, html string")
+    rows = _converted(pages, least=11).collect()
+    assert {int(row.source_id) for row in rows if row.record_type == "revisit"} == {5}
+
+
+def test_no_pages(spark):
+    assert _converted(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_broken_archives():
+    block = b"2 0 pages\n" + archives.ARC_FIELDS[2].encode() + b"\n\n"
+    head = archives.arc_line(2, "filedesc://x", "20240101", "text/plain", len(block)) + block
+    good = head + b"\n" + archives.arc_line(2, "http://x/a b", "20240101", "text/html", 3) + b"abc"
+    ((fields, body),) = archives.arc_records(good)
+    assert fields["URL"] == "http://x/a b" and fields["Result-code"] == "200" and body == b"abc"
+    for broken in (b"nothing\n", head.replace(b"2 0", b"7 0"), good[:-1], head + b"\nhttp://x 1\n"):
+        with pytest.raises(ValueError):
+            list(archives.arc_records(broken))
+
+
+# chats
+
+
+def _chat(spark, events):
+    log = spark.createDataFrame(events, "conv_id long, message long, sequence long, operation string, role string, text string").repartition(3)
+    return {row.conv_id: row for row in chat.read_turns(chat.format_conversations(chat.fold_events(log))).collect()}
+
+
+def test_events_are_folded(spark):
+    rows = _chat(spark, [
+        (1, 0, 0, "delta", "user", "Hel"), (1, 0, 1, None, None, "lo"), (1, 1, 2, "delta", "assistant", "wrong"), (1, 1, 3, "regenerate", None, None),
+        (1, 1, 4, "delta", None, "rig"), (1, 1, 5, "delta", None, "ht"), (1, 2, 6, "delta", "user", "a"), (1, 2, 7, "edit", None, "b"), (1, 2, 8, "delta", None, "c"),
+        (2, 0, 0, "delta", None, None), (None, 0, 0, "delta", "assistant", "x"), (None, 0, 0, "delta", "assistant", "x"),
+    ])
+    said = {conv: [(t.role, t.text) for t in row.turns] for conv, row in rows.items()}
+    assert said == {1: [("user", "Hello"), ("assistant", "right"), ("user", "bc")], 2: [("", "")], None: [("assistant", "xx")]}
+    assert rows[1].loss_text == "right" and rows[2].loss_text == ""
+
+
+def test_control_strings_come_back(spark):
+    draw = random.Random(6)
+    parts = ["<turn>", "</turn>", "#", "\\", "\\l", "\\s", "\\h", "a", "\n", "é", "<", ">", "\\### Assistant: </turn> ok"]
+    texts = ["".join(draw.choices(parts, k=draw.randint(0, 8))) for _ in range(60)]
+    roles = ["user", "assistant", "<#\\>"]
+    events = [(k // 6, k % 6, 0, "delta", roles[k % 3], text) for k, text in enumerate(texts)]
+    for conv, row in _chat(spark, events).items():
+        own = [(roles[k % 3], texts[k]) for k in range(6 * conv, 6 * conv + 6)]
+        assert [(t.role, t.text) for t in row.turns] == own
+        assert row.loss_text == "".join(text for role, text in own if role == "assistant")
+        assert row.formatted.count("<turn>") == row.formatted.count("</turn>") == 6
+
+
+def test_no_events(spark):
+    assert _chat(spark, []) == {}
+
+
+def test_chats_need_no_python(spark):
+    log = spark.createDataFrame([], "conv_id long, message long, sequence long, operation string, role string, text string")
+    plan = chat.read_turns(chat.format_conversations(chat.fold_events(log)))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
