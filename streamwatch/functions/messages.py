@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from streamwatch.functions.values import event_time
+from streamwatch.functions.values import event_time, utc_clock
 from streamwatch.schema import EVENT_SCHEMA, require_columns
 
 # ISO-8601 text with microseconds, as a naive UTC clock prints it.
@@ -19,10 +19,16 @@ CORRUPT = "_corrupt_record"  # Spark's default name for unreadable JSON text
 def stamp_missing_time(df: DataFrame, ts_col: str = "timestamp") -> DataFrame:
     """Fill an absent or null event time with the current time."""
     now = F.current_timestamp()
+    # date_format() would write the session's local time
+    printed = F.to_json(F.struct(now.alias("now")), {"timestampFormat": TIME_FORMAT, "timeZone": "UTC"})
+    text = F.get_json_object(printed, "$.now")
     if ts_col not in df.columns:
-        return df.withColumn(ts_col, F.date_format(now, TIME_FORMAT))
-    if isinstance(df.schema[ts_col].dataType, T.StringType):
-        now = F.date_format(now, TIME_FORMAT)
+        return df.withColumn(ts_col, text)
+    kind = df.schema[ts_col].dataType
+    if isinstance(kind, T.StringType):
+        now = text
+    elif isinstance(kind, T.TimestampNTZType):
+        now = utc_clock(now)
     return df.withColumn(ts_col, F.coalesce(ts_col, now))
 
 
@@ -30,7 +36,7 @@ def encode_events(df: DataFrame, key_col: str | None = None) -> DataFrame:
     """One JSON ``value`` per row, and a message ``key`` if asked for."""
     body = F.to_json(
         F.struct("*"),
-        {"timestampFormat": TIME_FORMAT, "timestampNTZFormat": TIME_FORMAT},
+        {"timestampFormat": TIME_FORMAT, "timestampNTZFormat": TIME_FORMAT, "timeZone": "UTC"},
     ).alias("value")
     if key_col is None:
         return df.select(body)

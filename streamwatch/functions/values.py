@@ -10,13 +10,32 @@ from pyspark.sql import types as T
 
 
 def event_time(df: DataFrame, name: str) -> Column:
-    """``name`` as a timestamp, null where it cannot be read.
+    """``name`` as a timestamp, null where it cannot be read; times without a zone are UTC,
+    whatever the session's zone.
 
     A timestamp column is returned as it is, so that a watermark on it stays.
     """
-    if isinstance(df.schema[name].dataType, T.TimestampType):
-        return F.col(name)
-    return F.col(name).try_cast("timestamp")
+    column, kind = F.col(name), df.schema[name].dataType
+    if isinstance(kind, T.TimestampType):
+        return column
+    if isinstance(kind, (T.TimestampNTZType, T.DateType)):
+        return in_utc(column.cast("timestamp_ntz"))
+    if isinstance(kind, T.StringType):
+        has_zone = column.rlike(r"\d:\d{1,2}(:\d{1,2}(\.\d*)?)?\s*([A-Za-z][A-Za-z0-9/_+:-]*|[+-]\d.*?)\s*$")
+        return F.when(has_zone, column.try_cast("timestamp")).otherwise(in_utc(column.try_cast("timestamp_ntz")))
+    return column.try_cast("timestamp")
+
+
+def in_utc(naive: Column) -> Column:
+    """The instant at which clocks in UTC show this time."""
+    parts = [f(naive) for f in (F.year, F.month, F.day, F.hour, F.minute)]
+    return F.when(naive.isNotNull(), F.make_timestamp(*parts, F.extract(F.lit("SECOND"), naive), F.lit("UTC")))
+
+
+def utc_clock(instant: Column) -> Column:
+    """What clocks in UTC show at this instant, as a time without a zone."""
+    seconds = (F.unix_micros(instant) / F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(18,6)")
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
 
 
 def finite(column: Column | str) -> Column:

@@ -37,7 +37,14 @@ def zscore_anomalies(
     """
     require_columns(df, [value_col])
     measured = attach_window_statistics(
-        df, moments(value_col), ts_col=ts_col, window=window, keys=keys, delay=delay, **join_options
+        df,
+        moments(value_col),
+        ts_col=ts_col,
+        window=window,
+        keys=keys,
+        delay=delay,
+        needed=[value_col],
+        **join_options,
     )
     score = z_score(finite(value_col), F.col("avg_amount"), F.col("stddev_amount"))
     return measured.withColumn("z_score", score).withColumn(
@@ -45,7 +52,7 @@ def zscore_anomalies(
     )
 
 
-def _quartiles(value_col: str, accuracy: int) -> Measures:
+def _quartiles(value_col: str, accuracy: int | None) -> Measures:
     mean = Measures({}, (F.avg("__amount").alias("avg_amount"),), (F.col("avg_amount"),))
     return mean + percentiles("amount", finite(value_col), {"q1": 0.25, "q3": 0.75}, accuracy)
 
@@ -64,7 +71,7 @@ def iqr_bounds(
     multiplier: float = 1.5,
     keys: Sequence[str] = (),
     delay: str | None = None,
-    accuracy: int = ACCURACY,
+    accuracy: int | None = ACCURACY,
 ) -> DataFrame:
     """Quartiles and the accepted range of each window."""
     require_columns(df, [value_col])
@@ -83,7 +90,7 @@ def iqr_anomalies(
     multiplier: float = 1.5,
     keys: Sequence[str] = (),
     delay: str | None = None,
-    accuracy: int = ACCURACY,
+    accuracy: int | None = ACCURACY,
     **join_options,
 ) -> DataFrame:
     """Every event with its window's accepted range; outside it is an anomaly."""
@@ -95,6 +102,7 @@ def iqr_anomalies(
         window=window,
         keys=keys,
         delay=delay,
+        needed=[value_col],
         **join_options,
     )
     value = finite(value_col)

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from streamwatch.functions.values import all_of, finite
 from streamwatch.operators.window_stats import (
@@ -43,7 +44,7 @@ def _counted(name: str) -> Measures:
     return Measures({}, (F.count("*").alias(name),), (F.col(name),))
 
 
-def _data_measures(value_col: str, accuracy: int) -> Measures:
+def _data_measures(value_col: str, accuracy: int | None) -> Measures:
     cuts = {"median_amount": 0.5, "p95_amount": 0.95, "p99_amount": 0.99}
     return (
         _counted("transaction_count")
@@ -53,18 +54,23 @@ def _data_measures(value_col: str, accuracy: int) -> Measures:
     )
 
 
-def _label_measures(label_col: str) -> Measures:
+def _label_measures(df: DataFrame, label_col: str) -> Measures:
+    whole = isinstance(df.schema[label_col].dataType, T.IntegralType)
     return _counted("total_transactions") + Measures(
-        {"__label": finite(label_col)},
+        {
+            "__label": finite(label_col),
+            # labels are summed as they are: whole numbers as such, others as doubles
+            "__label_sum": F.col(label_col).cast("bigint") if whole else finite(label_col),
+        },
         (
-            F.sum(F.col("__label").cast("int")).alias("fraud_count"),
+            F.sum("__label_sum").alias("fraud_count"),
             F.avg("__label").alias("__label_rate"),
         ),
         (F.col("fraud_count"), (F.col("__label_rate") * 100).alias("fraud_rate_percent")),
     )
 
 
-def _prediction_measures(probability_col: str, accuracy: int) -> Measures:
+def _prediction_measures(probability_col: str, accuracy: int | None) -> Measures:
     probability = finite(probability_col)
     cuts = {"median_fraud_prob": 0.5, "p95_fraud_prob": 0.95}
     return (
@@ -117,7 +123,7 @@ def data_drift(
     window: str = "10 minutes",
     keys: Sequence[str] = (),
     delay: str | None = None,
-    accuracy: int = ACCURACY,
+    accuracy: int | None = ACCURACY,
 ) -> DataFrame:
     """Count, mean, deviation, range and percentiles of the amounts in each window."""
     require_columns(df, [value_col])
@@ -139,7 +145,7 @@ def label_drift(
     An unknown label counts as an event but is left out of the rate.
     """
     require_columns(df, [label_col])
-    measures = _label_measures(label_col)
+    measures = _label_measures(df, label_col)
     return per_window(df, measures, ts_col=ts_col, window=window, keys=keys, delay=delay)
 
 
@@ -151,7 +157,7 @@ def prediction_drift(
     window: str = "10 minutes",
     keys: Sequence[str] = (),
     delay: str | None = None,
-    accuracy: int = ACCURACY,
+    accuracy: int | None = ACCURACY,
 ) -> DataFrame:
     """Distribution of the predicted probability in each window."""
     require_columns(df, [probability_col])
@@ -189,7 +195,7 @@ def monitoring_report(
     window: str = "10 minutes",
     keys: Sequence[str] = (),
     delay: str | None = None,
-    accuracy: int = ACCURACY,
+    accuracy: int | None = ACCURACY,
 ) -> DataFrame:
     """All reports in one aggregation: one scan of a table, one state store on a stream.
 
@@ -199,7 +205,7 @@ def monitoring_report(
     require_columns(df, [value_col, label_col, probability_col, prediction_col])
     measures = _data_measures(value_col, accuracy)
     if label_col is not None:
-        measures += _label_measures(label_col)
+        measures += _label_measures(df, label_col)
     if probability_col is not None:
         measures += _prediction_measures(probability_col, accuracy)
     if prediction_col is not None and label_col is not None:

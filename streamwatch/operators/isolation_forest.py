@@ -22,11 +22,7 @@ from streamwatch.session import checkpoint_root
 
 EULER_GAMMA = 0.5772156649015329
 CONTAMINATION = 0.05
-# Candidates drawn per row that a tree needs; a tree runs short of rows with a
-# probability below 1e-100.
-CANDIDATES = 4
 MAX_NODES = 2_000_000
-ROWS_PER_TASK = 20_000
 
 # `child` is the left child, the right one follows it; a leaf has none (-1).
 NODE_SCHEMA = "tree int, node int, feature int, split double, child int, path double, sample int"
@@ -184,29 +180,26 @@ def fit_isolation_forest(
     sample_size: int = 256,
     contamination: float = CONTAMINATION,
     seed: int = 42,
+    max_nodes: int = MAX_NODES,
 ) -> IsolationForestModel:
     """Grow the forest, then set the threshold that flags ``contamination`` of ``df``.
 
-    The same input in the same partitions gives the same forest again.
+    The same input in the same partitions gives the same forest again. ``max_nodes`` guards the
+    driver's memory: a forest that could have more nodes is refused.
     """
     require_columns(df, features)
-    if trees * (2 * sample_size - 1) > MAX_NODES:
-        raise ValueError(f"more than {MAX_NODES} nodes: the model would not fit in memory")
+    if trees * (2 * sample_size - 1) > max_nodes:
+        raise ValueError(f"more than {max_nodes} nodes: the model would not fit in memory")
     names = [f"__f{i}" for i in range(len(features))]
     usable = df.select(*(finite(f).alias(n) for f, n in zip(features, names))).where(
         all_of([F.col(n).isNotNull() for n in names])
     )
 
-    pool = _candidate_pool(usable, CANDIDATES * trees * sample_size, seed)
-    size = pool.count()
-    share = min(1.0, CANDIDATES * sample_size / size)
-    draws = (
-        pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-        .withColumn("draw", uniform("row", "tree", F.lit(seed)))
-        .where(F.col("draw") < share)
-        .select("tree", "draw", *names)
-    )
-    grower = _tree_grower(names, min(sample_size, size), seed)
+    rows = usable.count()
+    if rows < 2:
+        raise ValueError("a forest needs at least two rows whose features are numbers")
+    draws = _drawn_samples(usable, rows, trees, sample_size, seed)
+    grower = _tree_grower(names, min(sample_size, rows), seed)
     grown = draws.groupBy("tree").applyInPandas(grower, NODE_SCHEMA)
     # at most `trees` times `2 * sample_size - 1` rows, checked above
     forest = IsolationForestModel(tuple(features), grown.toPandas())
@@ -217,16 +210,23 @@ def fit_isolation_forest(
     return IsolationForestModel(forest.features, forest.nodes, threshold)
 
 
-def _candidate_pool(usable: DataFrame, wanted: int, seed: int) -> DataFrame:
-    """About ``wanted`` rows from which all trees draw, so that the big table is sampled once.
-
-    Rows are drawn by position, so copies of a row cannot swell or miss the pool.
+def _drawn_samples(
+    usable: DataFrame, rows: int, trees: int, sample_size: int, seed: int
+) -> DataFrame:
+    """The rows that each tree draws, with their draws: every row draws a number per tree from its
+    position and the tree, and those below a common bound go. The bound lets ten deviations more rows through than a
+    tree needs; of these it takes the smallest draws. One rule for tables of every size.
     """
-    rows = usable.count()
-    if rows < 2:
-        raise ValueError("a forest needs at least two rows whose features are numbers")
+    names = usable.columns
+    wanted = min(sample_size, rows)
+    bound = min(1.0, (wanted + 10 * math.sqrt(wanted) + 20) / rows)
+    draw = lambda tree: uniform("row", tree, F.lit(seed))
+    numbered = usable.withColumn("row", F.monotonically_increasing_id())
+    chosen = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda tree: draw(tree) < bound)
+    drawn = numbered.withColumn("tree", F.explode(chosen)).withColumn("draw", draw(F.col("tree")))
     checkpoint_root(usable.sparkSession)
-    picked = usable if rows <= wanted else usable.sample(wanted / rows, seed)
-    numbered = picked.withColumn("row", F.monotonically_increasing_id())
-    # the sample of a large table is spread thinly over very many scan tasks
-    return numbered.repartition(max(1, min(rows, wanted) // ROWS_PER_TASK), "row").checkpoint()
+    drawn = drawn.select("tree", "draw", *names).checkpoint()
+    sizes = drawn.groupBy("tree").count().filter(F.col("count") >= wanted)
+    if sizes.count() < trees:
+        raise RuntimeError("a tree drew too few rows; choose another seed")
+    return drawn

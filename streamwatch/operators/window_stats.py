@@ -17,6 +17,12 @@ ACCURACY = 10_000  # Spark's default for approximate percentiles
 MERGE_SLOTS = 512
 
 
+def _name_of(column: Column) -> str:
+    """The alias of an expression, or the name of a column."""
+    text = str(column).removeprefix("Column<'").removesuffix("'>")
+    return text.rpartition(" AS ")[2]
+
+
 @dataclass(frozen=True)
 class Measures:
     """What to compute per group.
@@ -30,6 +36,12 @@ class Measures:
     aggregates: tuple[Column, ...] = ()
     outputs: tuple[Column, ...] = ()
     has_digests: bool = False
+    #: exact percentiles: the input, and the name and share of each
+    exact: dict[str, dict[str, float]] = field(default_factory=dict)
+
+    def names(self) -> list[str]:
+        """Names of the outputs."""
+        return [_name_of(column) for column in self.outputs]
 
     def __add__(self, other: Measures) -> Measures:
         return Measures(
@@ -37,6 +49,7 @@ class Measures:
             self.aggregates + other.aggregates,
             self.outputs + other.outputs,
             self.has_digests or other.has_digests,
+            {**self.exact, **other.exact},
         )
 
 
@@ -47,7 +60,8 @@ def open_windows(df: DataFrame, ts_col: str, duration: str, delay: str | None) -
     streams takes one watermarked column per side, and the window is that one.
     """
     require_columns(df, [ts_col])
-    timed = df.withColumn(CLOCK, event_time(df, ts_col))
+    # the scan can skip rows without a time
+    timed = df.filter(F.col(ts_col).isNotNull()).withColumn(CLOCK, event_time(df, ts_col))
     if df.isStreaming:
         if delay is None:
             raise ValueError("a stream needs `delay`, how long to wait for late events")
@@ -60,13 +74,32 @@ def aggregate_windows(rows: DataFrame, measures: Measures, keys: Sequence[str])
     require_columns(rows, keys)
     inputs = [column.alias(name) for name, column in measures.inputs.items()]
     rows = rows.select(WINDOW, *keys, *inputs)
-    if measures.has_digests and not rows.isStreaming:
+    if measures.exact:
+        grouped = _with_exact_percentiles(rows, measures, keys)
+    elif measures.has_digests and not rows.isStreaming:
         grouped = merged_in_two_steps(rows, [WINDOW, *keys], measures.aggregates)
     else:
         grouped = rows.groupBy(WINDOW, *keys).agg(*measures.aggregates)
     return grouped.select(WINDOW, *keys, *measures.outputs)
 
 
+def _with_exact_percentiles(rows: DataFrame, measures: Measures, keys: Sequence[str]) -> DataFrame:
+    from streamwatch.plans.exact_percentiles import exact_percentiles
+
+    if rows.isStreaming:
+        raise ValueError("exact percentiles need a table; give a stream an accuracy")
+    # a group without aggregates is still a group
+    grouped = rows.groupBy(WINDOW, *keys).agg(*measures.aggregates, F.count("*").alias("__group_size"))
+    renamed = {"window_start": "__at_window", **{key: f"__at_{i}" for i, key in enumerate(keys)}}
+    for column, cuts in measures.exact.items():
+        found = exact_percentiles(rows, keys, column, cuts).withColumnsRenamed(renamed)
+        same = F.col(f"{WINDOW}.start") == F.col("__at_window")
+        for key in keys:
+            same &= F.col(key).eqNullSafe(F.col(renamed[key]))
+        grouped = grouped.join(found, same, "left").drop(*renamed.values())
+    return grouped
+
+
 def merged_in_two_steps(
     rows: DataFrame, keys: Sequence[str], aggregates: Sequence[Column]
 ) -> DataFrame:
@@ -131,9 +164,12 @@ def extremes(value: str) -> Measures:
 
 
 def percentiles(
-    name: str, column: Column, cuts: dict[str, float], accuracy: int
+    name: str, column: Column, cuts: dict[str, float], accuracy: int | None
 ) -> Measures:
-    """Approximate percentiles, all from one digest per group."""
+    """Approximate percentiles, all from one digest per group; without ``accuracy`` exact ones."""
+    if accuracy is None:
+        outputs = tuple(F.col(cut) for cut in cuts)
+        return Measures({f"__{name}": column}, (), outputs, exact={f"__{name}": cuts})
     digest = F.percentile_approx(f"__{name}", list(cuts.values()), accuracy)
     return Measures(
         {f"__{name}": column},

@@ -37,6 +37,11 @@ MEASURED_BROADCAST_BYTES = 128 * 2**20
 # most of it, as its events spread over that many tasks.
 KEYED_STREAM_SALTS = 32
 
+# Tasks that the events of a window spread over on a stream without keys. Buffered events keep their
+# salt over a restart, so the number must not follow the session; `salts` of a running
+# stream must not be changed either.
+STREAM_SALTS = 256
+
 
 def attach_window_statistics(
     df: DataFrame,
@@ -49,14 +54,24 @@ def attach_window_statistics(
     salt_by: Sequence[str] | None = None,
     salts: int | None = None,
     broadcast_bytes: int | None = None,
+    needed: Sequence[str] = (),
 ) -> DataFrame:
     """Left join: ``df`` with its window and the measures of its window and keys.
 
     A table runs one job here, the aggregation, because its size decides the
-    join. A stream is planned lazily.
+    join. A stream is planned lazily. Columns of ``df`` with the name of a result are
+    replaced, as ``withColumn`` does, so that one operator can follow another; one that is a key
+    or ``needed`` later cannot be.
     """
     require_columns(df, keys)
     rows = open_windows(df, ts_col, window, delay)
+    added = ["window_start", "window_end", *measures.names()]
+    kept = sorted(set(added).intersection(needed)) + [k for k in keys if k in ("window_start", "window_end")]
+    if kept:
+        raise ValueError(f"names of results, rename these columns first: {kept}")
+    rows = rows.drop(*(name for name in added if name in df.columns))
+    if salt_by is not None:
+        salt_by = [name for name in salt_by if name in rows.columns]
     if df.isStreaming:
         return _attach_stream(rows, measures, keys, salt_by, salts)
     return _attach_table(rows, measures, keys, broadcast_bytes)
@@ -160,8 +175,7 @@ def _attach_stream(
     where it sent them before.
     """
     if salts is None:
-        partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        salts = KEYED_STREAM_SALTS if keys else partitions
+        salts = KEYED_STREAM_SALTS if keys else STREAM_SALTS
     if salt_by is None:
         # a map has no hash
         salt_by = [f.name for f in rows.schema if not isinstance(f.dataType, T.MapType)]

@@ -186,7 +186,7 @@ ORACLES: dict[str, str] = {
     "stamped_events": """
       SELECT event_type, count(*) AS events, count(*) AS with_time FROM events GROUP BY 1""",
     "csv_scan": """
-      SELECT event_id, ts, user_id, event_type, round(value, 9) AS value FROM events""",
+      SELECT event_id, ts, user_id, event_type, round(value, 9) AS value, props FROM events""",
     "first_events": """
       SELECT event_id, ts, user_id, event_type, round(value, 9) AS value, props
       FROM events ORDER BY ts, event_id LIMIT 500""",
@@ -222,6 +222,66 @@ ORACLES: dict[str, str] = {
         "l_orderkey, l_linenumber, round(l_extendedprice, 6) AS l_extendedprice",
         0.4,
     ),
+    "iqr_by_key": f"""
+      WITH rows AS ({_events()}),
+      bounds AS (
+        SELECT window_start, event_type, quantile_disc(value, 0.25) AS q1,
+               quantile_disc(value, 0.75) AS q3, q1 - 1.5 * (q3 - q1) AS lower_bound,
+               q3 + 1.5 * (q3 - q1) AS upper_bound
+        FROM rows GROUP BY window_start, event_type
+      )
+      SELECT event_id, window_start, round(q1, 6) AS q1, round(q3, 6) AS q3,
+             round(lower_bound, 6) AS lower_bound, round(upper_bound, 6) AS upper_bound,
+             value < lower_bound OR value > upper_bound AS is_anomaly
+      FROM rows JOIN bounds USING (window_start, event_type)""",
+    "zscore_and_iqr": f"""
+      WITH rows AS ({_events()}), bounds AS ({_bounds(_events(), 1.5)}),
+      measured AS (
+        SELECT *, avg(value) OVER w AS m, stddev_samp(value) OVER w AS sd
+        FROM rows WINDOW w AS (PARTITION BY window_start)
+      ),
+      judged AS (
+        SELECT *, CASE WHEN sd > 0 THEN abs((value - m) / sd) ELSE 0 END AS z FROM measured
+      )
+      SELECT event_id, judged.window_start, round(z, 6) AS z_score, z > 3.0 AS is_far,
+             round(q1, 6) AS q1, round(q3, 6) AS q3,
+             round(lower_bound, 6) AS lower_bound, round(upper_bound, 6) AS upper_bound,
+             value < lower_bound OR value > upper_bound AS is_anomaly
+      FROM judged JOIN bounds USING (window_start)""",
+    "isolation_scores": """
+      SELECT count(*) AS scored_rows, true AS within_share, CAST(20 AS BIGINT) AS largest_flagged
+      FROM events""",
+    "isolation_fixed_scores": """
+      WITH paths AS (
+        SELECT event_id, value,
+               CASE WHEN value <= 50 THEN 3.0 WHEN user_id <= 90 THEN 2.5 ELSE 2.0 END
+               + CASE WHEN user_id <= 20 THEN 1.0 ELSE 4.0 END AS path
+        FROM events
+      )
+      SELECT event_id, round(value, 6) AS value,
+             round(score, 6) AS anomaly_score, score > 0.55 AS is_anomaly
+      FROM (
+        SELECT *, pow(2, -path / (2 * (2 * (ln(7) + 0.5772156649015329) - 14 / 8.0))) AS score
+        FROM paths
+      )""",
+    "forest_scores": """
+      SELECT event_id, ts, CAST(k > 49 AS INTEGER) AS target, CAST(k > 49 AS DOUBLE) AS is_fraud,
+             CAST(k > 49 AS DOUBLE) AS fraud_probability
+      FROM (SELECT *, CAST(regexp_extract(props, '"k": *([-0-9.]+)', 1) AS DOUBLE) AS k FROM events)""",
+    "job_scores": """
+      WITH fields AS (
+        SELECT *, CAST(event_type = 'error' AS INTEGER) AS label,
+               CAST(regexp_extract(props, '"k": *([-0-9.]+)', 1) AS DOUBLE) AS k
+        FROM events
+      ),
+      scores AS (
+        SELECT *, 1 / (1 + exp(-(-3 + 0.01 * value + 0.001 * user_id
+                 + 0.002 * (40.6 * value + 28 * k)))) AS p
+        FROM fields
+      )
+      SELECT event_id, round(value, 6) AS value, label, CAST(p > 0.5 AS DOUBLE) AS is_fraud,
+             round(p, 6) AS fraud_probability
+      FROM scores""",
     "linear_scores": f"""
       SELECT event_id, ts, value, label, is_fraud, round(p, 6) AS fraud_probability
       FROM ({_linear(_events())})""",

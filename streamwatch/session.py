@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -46,7 +47,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     if root is None:
         root = context.getCheckpointDir()
     if root is None:
-        if not context.master.startswith("local"):
+        if not re.match(r"local(\[|$)", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="streamwatch-")
     if context.getCheckpointDir() is None:
