@@ -1,5 +1,45 @@
-"""SQL that gives the same rows as a query, where SQL can express it."""
+"""SQL that gives the same rows as a query, where SQL can express it.
+
+The other operators use tokenizers, trained models, hashes that SQL lacks or edit distances; ``tests/llm`` compares
+them with plain Python.
+"""
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+_ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+
+
+def _base32(hexadecimal: str) -> str:
+    """Base 32 of a SHA-1 digest in hexadecimal: five of its digits are four characters."""
+    found = []
+    for k in range(8):
+        number = f"CAST('0x' || substr({hexadecimal}, {5 * k + 1}, 5) AS BIGINT)"
+        found += [f"substr('{_ALPHABET}', 1 + CAST(({number} >> {shift}) & 31 AS BIGINT), 1)" for shift in (15, 10, 5, 0)]
+    return " || ".join(found)
+
+
+_ARCHIVES = f"""
+  WITH digests AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS digest,
+           max(page_id) OVER (PARTITION BY coalesce(html, '')) AS newest
+    FROM pages
+  )
+  SELECT page_id, payload_bytes, {_base32('digest')} AS payload_digest,
+         CASE WHEN page_id = newest THEN 'response' ELSE 'revisit' END AS record_type,
+         CASE WHEN page_id <> newest THEN newest END AS refers_to
+  FROM digests"""
+
+_CHATS = r"""
+  WITH rows AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL
+    SELECT * FROM (VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok'))
+  )
+  SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
+         sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+         CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+         sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+         CAST(sum(14 + length(role || text) + length(regexp_replace(role || text, '[^\\<#]', '', 'g'))) AS BIGINT) AS formatted_chars
+  FROM rows GROUP BY conv_id"""
+
+ORACLES: dict[str, str] = {"op7_arc_to_warc": _ARCHIVES, "op9_chat_format": _CHATS}
