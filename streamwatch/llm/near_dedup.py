@@ -10,10 +10,10 @@
    pairs under that distance meet under some key, and ``chunks`` is chosen so that a pair of exactly the asked similarity
    stays under it but for a probability of ``MISSED``.
 4. Texts that meet are compared by their whole sets, and links make components. Within a key not all pairs are
-   compared, only what components need: first each text with one pivot of its key, three times with
-   another pivot. Then keys that still hold several components are searched for pairs under the distance between
-   different components, and such a text is compared with all of the other component, nearest first, until a
-   link is found. No link between components is left out, and a group of n copies costs about n comparisons.
+   compared, only what components need: first each text with one pivot of its key. Then keys that still hold several components are searched for pairs under the distance between
+   different ones; components that meet so make a region, and in a region every text outside the largest component is
+   compared with all others. No link between components is left out, a group of n copies costs about n comparisons, and
+   a task tells no more than the links that unite components.
 
 What a key or component has beyond a block goes to several tasks. Every step is a stored table.
 
@@ -30,8 +30,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import as_texts, free_name, groups_of, stored, text_bytes
@@ -42,6 +41,7 @@ MISSED = 1e-5
 #: Texts of a key or component that one task compares with as many others.
 BLOCK = 1024
 BLOCK_BYTES = 4 << 20
+EDGES_PER_TASK = 500_000
 
 _MASK = (1 << 64) - 1
 _SPACE = np.zeros(256, bool)
@@ -187,10 +187,12 @@ def components(links: DataFrame) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = stored(large, "edges")
+        # neither step adds edges, so that few tasks hold them all; and every task writes files
+        tasks = 1 + before["n"] // EDGES_PER_TASK
+        large = stored(large.coalesce(tasks), "edges")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = stored(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        edges = stored(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct().coalesce(tasks), "edges")
 
 
 class _Search:
@@ -240,77 +242,97 @@ class _Search:
         return rows.filter(100 * F.col("shared") >= self.percent * (F.col("both") - F.col("shared"))).select("a", "b")
 
     def pivots(self) -> None:
-        """Each text with one pivot of each of its keys."""
+        """Each text with the pivot of each of its keys."""
         first = self.buckets.select(F.col("lo").alias("a"), F.col("text_id").alias("b")).filter("a <> b").distinct()
         self.add(stored(self.confirmed(first), "links"))
-        for order in (-F.col("text_id"), F.xxhash64("text_id")):
-            rows = self.open_buckets()
-            pivot = rows.groupBy("key").agg(F.min_by(F.struct("text_id", "component"), order).alias("pivot"))
-            pairs = rows.join(pivot, "key").filter(F.col("component") != F.col("pivot.component"))
-            pairs = pairs.select(F.col("pivot.text_id").alias("a"), F.col("text_id").alias("b")).distinct()
-            self.add(stored(self.confirmed(pairs), "links"))
 
     def rest(self) -> None:
-        """What the pivots left: texts of one component near to another one under a common key."""
-        # among up to three texts of a key the pivots compared all pairs
-        rows = self.open_buckets().filter("n > 3")
-        sizes = self.labels.groupBy("component").agg((F.count("*") + 1).alias("size"))
-        rows = rows.join(sizes, "component", "left").withColumn("size", F.coalesce("size", F.lit(1)))
+        """What the pivots left. Components with texts under the signature distance make regions; within a region
+        all texts outside the largest component of a task are compared with all others."""
+        # of two texts the pivot is one
+        rows = self.open_buckets().filter("n > 2")
         rows = rows.join(self.texts.select("text_id", "signature"), "text_id")
-        blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-        rows = rows.withColumn("block", F.pmod(F.xxhash64("text_id"), blocks).cast("int")).withColumn("blocks", blocks)
-        # block i meets block j in the task (i, j), i <= j
-        other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-        rows = rows.select("key", "text_id", "component", "size", "signature", "block", other.alias("other"))
-        rows = rows.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
         most = self.most
 
         def near(group: pa.Table) -> pa.Table:
-            n = group.num_rows
-            ids, component, size = (group.column(name).to_numpy() for name in ("text_id", "component", "size"))
+            component = group.column("component").to_numpy()
             rows = np.array([np.frombuffer(x.as_py(), np.uint16) for x in group.column("signature")])
-            found = set()
-            for k in range(n):
-                close = ((rows != rows[k]).sum(axis=1) <= most) & (component != component[k])
-                # of two components the larger one stays, by size and then by name
-                close &= (size > size[k]) | ((size == size[k]) & (component < component[k]))
-                found.update((int(ids[k]), int(c)) for c in np.unique(component[close]))
-            return pa.table({"text_id": pa.array([x for x, _ in found], pa.int64()), "target": pa.array([x for _, x in found], pa.int64())})
-
-        wanted = stored(rows.groupBy("key", "i", "j").applyInArrow(near, "text_id long, target long").distinct(), "near")
-        # members of the wanted components, in blocks, each once
-        targets = wanted.select(F.col("target").alias("component")).distinct().join(sizes, "component", "left")
-        targets = targets.withColumn("blocks", F.ceil(F.coalesce("size", F.lit(1)) / BLOCK).cast("int")).select("component", "blocks")
-        whole = self.texts.select("text_id", "signature").join(self.sets, "text_id")
-        members = self.labelled(whole, "text_id", "component").join(targets, "component")
-        members = members.withColumn("block", F.pmod(F.xxhash64("text_id"), F.col("blocks")).cast("int"))
-        asked = wanted.join(targets.withColumnRenamed("component", "target"), "target").join(whole, "text_id")
-        asked = asked.select("text_id", "signature", "shingles", F.col("target").alias("component"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+            joined, a, b = _Union(component), [], []
+            for k in range(len(rows)):
+                if joined.groups == 1:
+                    break
+                other = np.flatnonzero(joined.roots() != joined.find(component[k]))
+                for c in np.unique(component[other[(rows[other] != rows[k]).sum(axis=1) <= most]]):
+                    if joined.join(component[k], c):
+                        a.append(int(component[k]))
+                        b.append(int(c))
+            return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+        blocks = _in_block_pairs(rows, ["key"], F.col("n"))
+        met = components(stored(blocks.groupBy("key", "i", "j").applyInArrow(near, "a long, b long"), "near"))
+        regions = met.unionByName(met.select(F.col("component").alias("node"), "component").distinct())
+        regions = regions.select(F.col("node").alias("component"), F.col("component").alias("region"))
+        members = self.labelled(self.texts.select("text_id"), "text_id", "component").join(regions, "component")
+        members = stored(members, "regions")
+        sizes = members.groupBy("region").agg(F.count("*").alias("n"))
+        blocks = _in_block_pairs(members.join(sizes, "region").join(self.sets, "text_id"), ["region"], F.col("n"))
         percent = self.percent
 
         def compare(group: pa.Table) -> pa.Table:
-            a, b = [], []
-            asks = group.column("asks").combine_chunks()
-            left, right = group.filter(asks), group.filter(pc.invert(asks))
-            if left.num_rows and right.num_rows:
-                ids, rows = right.column("text_id").to_numpy(), np.array([np.frombuffer(x.as_py(), np.uint16) for x in right.column("signature")])
-                sets = [np.array(x.as_py(), np.int64) for x in right.column("shingles")]
-                for text, row, own in zip(*(left.column(name) for name in ("text_id", "signature", "shingles"))):
-                    own = np.array(own.as_py(), np.int64)
-                    distance = (rows != np.frombuffer(row.as_py(), np.uint16)).sum(axis=1)
-                    for k in np.argsort(distance, kind="stable"):
-                        if distance[k] > most:
-                            break
-                        shared = len(np.intersect1d(own, sets[k], assume_unique=True))
-                        if 100 * shared >= percent * (len(own) + len(sets[k]) - shared):
-                            a.append(text.as_py())
-                            b.append(int(ids[k]))
-                            break
+            component, text = group.column("component").to_numpy(), group.column("text_id").to_numpy()
+            shingles = group.column("shingles").combine_chunks()
+            size = shingles.value_lengths().to_numpy()
+            at = np.concatenate([[0], np.cumsum(size)[:-1]])
+            known, codes = np.unique(shingles.flatten().to_numpy(), return_inverse=True)
+            names, number = np.unique(component, return_counts=True)
+            joined, marked, a, b = _Union(component), np.zeros(len(known), np.int32), [], []
+            for k in np.flatnonzero(component != names[np.argmax(number)]):
+                if joined.groups == 1:
+                    break
+                own = codes[at[k] : at[k] + size[k]]
+                marked[own] = 1
+                shared = np.add.reduceat(marked[codes], at)
+                marked[own] = 0
+                linked = (100 * shared >= percent * (size + size[k] - shared)) & (joined.roots() != joined.find(component[k]))
+                for other in np.flatnonzero(linked):
+                    if joined.join(component[k], component[other]):
+                        a.append(int(text[k]))
+                        b.append(int(text[other]))
             return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-        both = asked.withColumn("asks", F.lit(True)).unionByName(members.drop("blocks").withColumn("asks", F.lit(False)))
-        pairs = both.groupBy("component", "block").applyInArrow(compare, "a long, b long")
-        self.add(stored(pairs, "links"))
+        self.add(stored(blocks.groupBy("region", "i", "j").applyInArrow(compare, "a long, b long"), "links"))
+
+
+class _Union:
+    """Components that links unite, for the rows of one task."""
+
+    def __init__(self, component: np.ndarray):
+        self.names, self.place = np.unique(component, return_inverse=True)
+        self.root = np.arange(len(self.names))
+        self.groups = len(self.names)
+
+    def find(self, name: int) -> int:
+        return int(self.root[np.searchsorted(self.names, name)])
+
+    def roots(self) -> np.ndarray:
+        """Of each row."""
+        return self.root[self.place]
+
+    def join(self, a: int, b: int) -> bool:
+        a, b = self.find(a), self.find(b)
+        if a != b:
+            self.root[self.root == b] = a
+            self.groups -= 1
+        return a != b
+
+
+def _in_block_pairs(rows: DataFrame, group: list[str], size: Column) -> DataFrame:
+    """Rows of large groups in blocks by their text's hash: block i meets block j in the task (i, j), i <= j, so that
+    any two rows of a group meet and no task holds a whole one."""
+    blocks = F.ceil(size / BLOCK).cast("int")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("text_id"), blocks).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    return rows.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("block", "other")
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -332,10 +354,12 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     search = _Search(whole, buckets, stored(_sets(own, words), "sets"), similarity, 2 * chunks - 1)
     search.pivots()
     search.rest()
-    # a document with several texts links them
     label = search.labelled(members, "text_id", "component")
-    links = label.select(F.col("doc_id").alias("a"), F.col("component").alias("b")).unionByName(search.labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
-    final = components(links).select(F.col("node").alias("doc_id"), F.col("component").alias("component_id"))
+    final = label.select("doc_id", F.col("component").alias("component_id"))
+    if not members.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        # a document with several texts links them
+        links = label.select(F.col("doc_id").alias("a"), F.col("component").alias("b")).unionByName(search.labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
+        final = components(links).select(F.col("node").alias("doc_id"), F.col("component").alias("component_id"))
     found = described.select("doc_id", "n_shingles").join(final, "doc_id", "left")
     found = found.withColumn("component_id", F.coalesce("component_id", "doc_id"))
     return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("kept"))
