@@ -46,6 +46,27 @@ def hash_sample(rows: DataFrame, column: str, most: int) -> DataFrame:
     return rows.orderBy(F.xxhash64(column), column).limit(most)
 
 
+#: A bitmap holds 32,768 ids side by side in 4 KiB; this many bitmaps (64 MiB) are broadcast at most.
+BITMAPS = 16_384
+
+
+def rows_by_id(rows: DataFrame, id_col: str, ids: DataFrame, *, among: bool) -> DataFrame:
+    """``rows`` whose id is in the only column of ``ids`` (``among``), or is not. A null id is in no set. The ids go as
+    bitmaps to the rows, so that texts are not shuffled; ids too many or too scattered for ``BITMAPS`` are joined by a shuffle."""
+    bucket, bits, own_number = (free_name(rows, wanted) for wanted in ("bucket", "bits", "number"))
+    (name,) = ids.columns
+    number = ids.select(F.col(name).cast("long").alias(own_number)).filter(F.col(own_number).isNotNull())
+    maps = number.groupBy(F.bitmap_bucket_number(own_number).alias(bucket)).agg(F.bitmap_construct_agg(F.bitmap_bit_position(own_number)).alias(bits))
+    own = rows[id_col].cast("long")
+    if number.agg(F.count_distinct(F.bitmap_bucket_number(own_number))).first()[0] > BITMAPS:
+        return rows.join(number.distinct(), own == F.col(own_number), "left_semi" if among else "left_anti")
+    place = F.bitmap_bit_position(own)
+    byte = F.conv(F.hex(F.substring(F.col(bits), (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    found = F.coalesce(F.getbit(byte, (place % 8).cast("int")) == 1, F.lit(False))
+    joined = rows.join(F.broadcast(maps), F.bitmap_bucket_number(own) == F.col(bucket), "inner" if among else "left")
+    return joined.filter(found if among else ~found).drop(bucket, bits)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

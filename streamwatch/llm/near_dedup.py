@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import as_texts, free_name, groups_of, stored, text_bytes
+from .common import as_texts, free_name, groups_of, rows_by_id, stored, text_bytes
 
 BITS = 16
 CHUNK = 5
@@ -350,7 +350,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("text_id").alias("lo")).filter("n > 1")
     buckets = stored(keyed.join(shared, "key"), "buckets")
     candidates = stored(buckets.select("text_id").distinct(), "candidates")
-    own = rows.join(candidates.withColumnRenamed("text_id", "doc_id"), "doc_id")
+    own = rows_by_id(rows, "doc_id", candidates, among=True)
     search = _Search(whole, buckets, stored(_sets(own, words), "sets"), similarity, 2 * chunks - 1)
     search.pivots()
     search.rest()
@@ -370,8 +370,7 @@ def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: s
     smallest hash of its text stays; rows without id all stay."""
     found = near_duplicates(docs, id_col=id_col, text_col=text_col, words=words, similarity=similarity)
     found = stored(found.filter("doc_id is not null"), "classes")
-    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    left = docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    left = rows_by_id(docs, id_col, found.filter(~F.col("kept")).select("doc_id"), among=False)
     if found.groupBy("doc_id").count().filter("count > 1").isEmpty():
         return left
     number = free_name(docs, "number")
