@@ -29,11 +29,12 @@ NOT_BREAK = r"[^\x20\x09-\x0D]"
 SYMBOLS = r"[#*$%&|<>]"
 
 #: Hash buckets of the multinomials, and how many n-grams of the raw corpus the target counts in advance:
-#: the fewer trusted documents there are, the closer all weights are to 0.
-BUCKETS = 8192
+#: the fewer trusted documents there are, the closer all weights are to 0. With too few buckets an unseen word
+#: shares its bucket with so many others that it weighs about 0; the README has the shares that are kept.
+BUCKETS = 65_536
 PRIOR = 4 * BUCKETS
-#: Documents whose mean ratio is below this go. Text like the trusted scores about 0.
-THRESHOLD = -0.08
+#: Documents whose mean ratio is below this go. Text like the trusted scores about 0. Set on labels held out from the target.
+THRESHOLD = -0.1
 #: Trusted documents that the target model is fitted on, at most: those with the smallest hash of their id.
 TRUSTED_ROWS = 20_000
 

@@ -99,6 +99,17 @@ def test_rules_on_odd_and_no_documents(odd, no_docs):
     assert rules.quality_rules(no_docs, [0.0] * 4).count() == 0
 
 
+def test_unseen_words_are_not_lost_among_others(documents):
+    draw = random.Random(8)
+    words = [f"w{k}" for k in range(200)]
+    good = [(k, " ".join(draw.choices(words, k=5000))) for k in range(42)]
+    junk = [(100 + k, " ".join(f"j{draw.randrange(10**9)}" for _ in range(300))) for k in range(20)]
+    docs = documents(good + junk)
+    weights = rules.fit_target_ratio(docs, docs.filter("doc_id < 40"))
+    kept = {row.doc_id for row in rules.quality_rules(docs, weights).collect() if row.kept}
+    assert kept == {k for k, _ in good}  # two of them are not trusted
+
+
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 
 
