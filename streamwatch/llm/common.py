@@ -50,23 +50,50 @@ def hash_sample(rows: DataFrame, column: str, most: int) -> DataFrame:
 BITMAPS = 16_384
 
 
+def _bitmaps(number: DataFrame, name: str, bucket: str, bits: str) -> DataFrame | None:
+    """The longs of ``number`` as bitmaps, or nothing if they are more than ``BITMAPS``."""
+    if number.agg(F.count_distinct(F.bitmap_bucket_number(name))).first()[0] > BITMAPS:
+        return None
+    return number.groupBy(F.bitmap_bucket_number(name).alias(bucket)).agg(F.bitmap_construct_agg(F.bitmap_bit_position(name)).alias(bits))
+
+
+def _in_bitmap(own: Column, bits: str) -> Column:
+    place = F.bitmap_bit_position(own)
+    byte = F.conv(F.hex(F.substring(F.col(bits), (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return F.coalesce(F.getbit(byte, (place % 8).cast("int")) == 1, F.lit(False))
+
+
 def rows_by_id(rows: DataFrame, id_col: str, ids: DataFrame, *, among: bool) -> DataFrame:
     """``rows`` whose id is in the only column of ``ids`` (``among``), or is not. A null id is in no set. The ids go as
     bitmaps to the rows, so that texts are not shuffled; ids too many or too scattered for ``BITMAPS`` are joined by a shuffle."""
     bucket, bits, own_number = (free_name(rows, wanted) for wanted in ("bucket", "bits", "number"))
     (name,) = ids.columns
     number = ids.select(F.col(name).cast("long").alias(own_number)).filter(F.col(own_number).isNotNull())
-    maps = number.groupBy(F.bitmap_bucket_number(own_number).alias(bucket)).agg(F.bitmap_construct_agg(F.bitmap_bit_position(own_number)).alias(bits))
     own = rows[id_col].cast("long")
-    if number.agg(F.count_distinct(F.bitmap_bucket_number(own_number))).first()[0] > BITMAPS:
+    maps = _bitmaps(number, own_number, bucket, bits)
+    if maps is None:
         return rows.join(number.distinct(), own == F.col(own_number), "left_semi" if among else "left_anti")
-    place = F.bitmap_bit_position(own)
-    byte = F.conv(F.hex(F.substring(F.col(bits), (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    found = F.coalesce(F.getbit(byte, (place % 8).cast("int")) == 1, F.lit(False))
+    found = _in_bitmap(own, bits)
     joined = rows.join(F.broadcast(maps), F.bitmap_bucket_number(own) == F.col(bucket), "inner" if among else "left")
     return joined.filter(found if among else ~found).drop(bucket, bits)
 
 
+def marked_by_id(rows: DataFrame, id_col: str, ids: DataFrame, mark: str) -> DataFrame:
+    """``rows`` with a column ``mark``: whether the id is in the only column of ``ids``. All ids count, sent as in
+    :func:`rows_by_id`; ids that are not whole numbers are joined by a shuffle."""
+    bucket, bits, own_id = (free_name(rows, wanted) for wanted in ("bucket", "bits", "other_id"))
+    (name,) = ids.columns
+    known = ids.select(F.col(name).alias(own_id)).filter(F.col(own_id).isNotNull())
+    whole = all(kind.typeName() in ("byte", "short", "integer", "long") for kind in (rows.schema[id_col].dataType, known.schema[own_id].dataType))
+    maps = _bitmaps(known.select(F.col(own_id).cast("long")), own_id, bucket, bits) if whole else None
+    if maps is None:
+        joined = rows.join(known.distinct(), rows[id_col] == F.col(own_id), "left")
+        return joined.withColumn(mark, F.col(own_id).isNotNull()).drop(own_id)
+    own = rows[id_col].cast("long")
+    joined = rows.join(F.broadcast(maps), F.bitmap_bucket_number(own) == F.col(bucket), "left")
+    return joined.withColumn(mark, _in_bitmap(own, bits)).drop(bucket, bits)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

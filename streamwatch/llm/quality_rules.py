@@ -22,7 +22,7 @@ from math import log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import constant_array, free_name, hash_sample
+from .common import constant_array, free_name, marked_by_id
 
 BREAKS = r"[\x20\x09-\x0D]+"
 NOT_BREAK = r"[^\x20\x09-\x0D]"
@@ -35,8 +35,6 @@ BUCKETS = 65_536
 PRIOR = 4 * BUCKETS
 #: Documents whose mean ratio is below this go. Text like the trusted scores about 0. Set on labels held out from the target.
 THRESHOLD = -0.1
-#: Trusted documents that the target model is fitted on, at most: those with the smallest hash of their id.
-TRUSTED_ROWS = 20_000
 
 
 def _from(start: int, end: Column) -> Column:
@@ -55,15 +53,15 @@ def _bigram(h: Column, k: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(F.get(h, k), F.get(h, k + 1)), F.lit(buckets)).cast("int")
 
 
-def fit_target_ratio(docs: DataFrame, trusted: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS, prior: float = PRIOR, trusted_rows: int = TRUSTED_ROWS) -> list[float]:
+def fit_target_ratio(docs: DataFrame, trusted: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS, prior: float = PRIOR) -> list[float]:
     """Weight of each bucket: log probability under the trusted documents less that under all.
-    ``trusted`` has a column ``id_col``; raw counts are over all of ``docs``."""
-    some = trusted.select(F.col(id_col).alias("_id")).filter("_id is not null").distinct()
-    some = hash_sample(some, "_id", trusted_rows).withColumn("_trusted", F.lit(1))
-    rows = _hashed(docs, F.col(text_col), [F.col(id_col).alias("_id")])
+    ``trusted`` has a column ``id_col``, and all of its documents count; raw counts are over all of ``docs``."""
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    rows = marked_by_id(rows, "_id", trusted.select(id_col), "_trusted")
+    rows = _hashed(rows, F.col("_text"), [F.col("_trusted")])
     h = F.col("_h")
-    rows = rows.join(F.broadcast(some), "_id", "left").select(  # at most ``trusted_rows`` ids
-        F.coalesce("_trusted", F.lit(0)).alias("trusted"),
+    rows = rows.select(
+        F.col("_trusted").cast("int").alias("trusted"),
         F.concat(
             F.transform(h, lambda x: F.pmod(x, F.lit(buckets)).cast("int")),
             F.transform(_from(0, F.size(h) - 1), lambda k: _bigram(h, k, buckets)),

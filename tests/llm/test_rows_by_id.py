@@ -21,3 +21,14 @@ def test_ids_decide_as_a_plain_set_does(spark, monkeypatch, ids, bitmaps):
         found = common.rows_by_id(rows, "doc_id", wanted, among=among)
         assert found.columns == rows.columns
         assert sorted(row.bucket for row in found.collect()) == sorted(str(x) for x in ROWS if (x in known) == among)
+
+
+@pytest.mark.parametrize("bitmaps", [common.BITMAPS, 0])
+def test_marks_are_those_of_a_plain_set(spark, monkeypatch, bitmaps):
+    monkeypatch.setattr(common, "BITMAPS", bitmaps)
+    rows = spark.createDataFrame([(x, str(x)) for x in ROWS], "doc_id long, bits string")
+    wanted = spark.createDataFrame([(x,) for x in SETS[2]], "doc_id long")
+    found = common.marked_by_id(rows, "doc_id", wanted, "mark").collect()
+    assert sorted((row.bits, row.mark) for row in found) == sorted((str(x), x in set(SETS[2]) - {None}) for x in ROWS)
+    named = common.marked_by_id(rows, "bits", wanted.selectExpr("string(doc_id) as doc_id"), "mark").collect()
+    assert sorted(map(str, (row.mark for row in named))) == sorted(map(str, (row.mark for row in found)))

@@ -110,6 +110,14 @@ def test_unseen_words_are_not_lost_among_others(documents):
     assert kept == {k for k, _ in good}  # two of them are not trusted
 
 
+def test_every_trusted_document_counts(documents):
+    texts = [(k, f"w{k % 7}") for k in range(20_500)]
+    docs = documents(texts)
+    weights = rules.fit_target_ratio(docs, docs.filter("doc_id < 20100"), buckets=64, prior=50)
+    expected = plain_weights(texts, set(range(20_100)), 64, 50)
+    assert max(abs(a - b) for a, b in zip(weights, expected)) < 1e-9
+
+
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 
 
