@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -32,13 +34,15 @@ def free_name(df: DataFrame, wanted: str) -> str:
 
 
 def constant_array(values: list[float]) -> Column:
-    """An array of doubles that is part of the plan; it is built once, not for each row."""
-    return F.expr(f"array({', '.join(f'{value!r}D' for value in values)})")
+    """An array of doubles that is one literal of the plan, whatever its length: the optimizer reads the text once.
+    An expression for each value would be copied with every copy of the plan."""
+    return F.from_json(F.lit(json.dumps(list(values))), "array<double>")
 
 
 def hash_sample(rows: DataFrame, column: str, most: int) -> DataFrame:
-    """Those of ``rows`` with the smallest hashes of ``column``, at most ``most``. Only rows whose hash is below a bound,
-    at which twice as many are expected, are sorted: a task sends a few rows, not ``most``."""
+    """Those of the distinct ``rows`` with the smallest hashes of ``column``, at most ``most``. Only rows whose hash is below a
+    bound, at which twice as many are expected, are sorted: a task sends a few rows, not ``most``."""
+    rows = rows.distinct()
     total = rows.count()
     if total > 2 * most:
         bound = int(2**64 * 2 * most / total) - 2**63

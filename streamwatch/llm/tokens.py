@@ -6,7 +6,9 @@ beforehand wherever the pattern is sure to cut, whatever stands around:
 
 * before white space that follows a visible character,
 * between an ASCII letter, digit or sign and an ASCII character of another of these kinds,
-  unless the first is an apostrophe (``'s`` is one piece).
+  unless the first is an apostrophe (``'s`` is one piece),
+* before and behind a special token of the file, such as ``<|endoftext|>``, which is one unit: the
+  library looks for these first, and gives each its own id.
 
 The units between are few and often repeated; the library encodes each distinct one once
 and a dictionary of bounded size keeps the ids. ``tests/llm/test_tokens.py`` compares with
@@ -16,6 +18,7 @@ the library's encoding of whole texts.
 from __future__ import annotations
 
 import os
+import re
 from array import array
 from collections.abc import Iterator
 
@@ -37,9 +40,26 @@ _KIND[0x41:0x5B] = _LETTER
 _KIND[0x61:0x7B] = _LETTER
 
 
-def unit_starts(data: np.ndarray, borders: np.ndarray | None = None) -> np.ndarray:
-    """Where units begin in ``data``: at its first byte, at ``borders``, and wherever the pattern
-    is sure to cut."""
+def special_spans(data: np.ndarray, pattern: re.Pattern[bytes] | None, borders: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Begin and end of the special tokens in ``data``, leftmost and without overlap; none reaches over a border."""
+    found: list[tuple[int, int]] = []
+    if pattern is None:
+        return found
+    text, at = data.tobytes(), 0
+    while match := pattern.search(text, at):
+        begin, end = match.span()
+        inside = borders is not None and np.searchsorted(borders, begin, side="right") < np.searchsorted(borders, end, side="left")
+        if inside:
+            at = begin + 1
+        else:
+            found.append((begin, end))
+            at = end
+    return found
+
+
+def unit_starts(data: np.ndarray, borders: np.ndarray | None = None, specials: list[tuple[int, int]] = []) -> np.ndarray:
+    """Where units begin in ``data``: at its first byte, at ``borders``, on both sides of ``specials`` but
+    not inside them, and wherever the pattern is sure to cut."""
     start = np.zeros(len(data), bool)
     if len(data) == 0:
         return np.zeros(0, np.int64)
@@ -55,6 +75,10 @@ def unit_starts(data: np.ndarray, borders: np.ndarray | None = None) -> np.ndarr
     start[0] = True
     if borders is not None:
         start[borders[borders < len(data)]] = True
+    for begin, end in specials:
+        start[begin : end + 1] = False
+        start[begin] = True
+        start[end : end + 1] = True
     return np.flatnonzero(start)
 
 
@@ -67,15 +91,19 @@ def _visible_bytes() -> dict[int, str]:
 
 
 class TextEncoder:
-    """Ids of texts by the tokenizer file at ``path``, without special tokens. Strings of special
-    tokens in a text are ordinary text."""
+    """Ids of texts by the tokenizer file at ``path``, none added. Special tokens that a text spells out get
+    their own ids, as the library's default call gives them."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = list(self.tokenizer.get_added_tokens_decoder().values())
+        if any(token.normalized or token.lstrip or token.rstrip or token.single_word for token in added):
+            raise ValueError("special tokens that depend on the text around them are not supported")
+        names = sorted((re.escape(token.content.encode()) for token in added), key=len, reverse=True)
+        self.specials = re.compile(b"|".join(names)) if names else None
         self.normalizer, self.model = self.tokenizer.normalizer, self.tokenizer.model
         self.visible = _visible_bytes()
         self._forget()
@@ -131,24 +159,20 @@ class TextEncoder:
                 yield self._long(part)
                 continue
             borders = offsets[begin : end + 1] - offsets[begin]
-            starts = unit_starts(part, borders)
+            starts = unit_starts(part, borders, special_spans(part, self.specials, borders))
             ids, count = self._block(part, starts)
             ends = np.concatenate([[0], np.cumsum(count)])[np.searchsorted(starts, borders)]
             for a, b in zip(ends[:-1], ends[1:]):
                 yield ids[a:b]
 
     def _long(self, data: np.ndarray) -> np.ndarray:
-        found, at = [], 0
+        found, at, starts = [], 0, unit_starts(data, specials=special_spans(data, self.specials))
         while at < len(data):
-            step = data[at : at + BLOCK_BYTES]
-            starts = unit_starts(step)
-            if at + len(step) < len(data) and len(starts) > 1:
-                step, starts = step[: starts[-1]], starts[:-1]
-            elif at + len(step) < len(data):  # one unit longer than a block
-                step = data[at:]
-                starts = unit_starts(step)
-            found.append(self._block(step, starts)[0])
-            at += len(step)
+            # whole units, one at least
+            first, last = np.searchsorted(starts, [at, at + BLOCK_BYTES])
+            end = len(data) if at + BLOCK_BYTES >= len(data) else int(starts[max(last - 1, first + 1)]) if max(last - 1, first + 1) < len(starts) else len(data)
+            found.append(self._block(data[at:end], starts[(starts >= at) & (starts < end)] - at)[0])
+            at = end
         return np.concatenate(found)
 
 

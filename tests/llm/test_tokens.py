@@ -6,6 +6,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from streamwatch.llm import packing, token_store, tokens
 
@@ -20,28 +21,42 @@ TRICKY = [
 ]
 
 
+SPECIAL = [
+    "first part <|endoftext|> second", "<|endoftext|>", "<|endoftext|><|endoftext|>x", "a<|startoftext|>b<|ENDOFTEXT|> <|endoftext|",
+    "|><|endoftext|>́ <|<|endoftext|>|> it<|endoftext|>'s\n<|startoftext|>\n\n 12<|endoftext|>34", "<|endof", "text|> <|endoftext|>",
+]
+
+
 @pytest.fixture(scope="module")
 def encoders():
     return [tokens.TextEncoder(path) for path in (BYTE, WORD)]
 
 
+UNTOUCHED = {}
+
+
 def _whole(encoder, text):
-    return encoder.tokenizer.encode(text or "", add_special_tokens=False).ids
+    """By a tokenizer as the file has it."""
+    path = BYTE if encoder.normalizer is None else WORD
+    if path not in UNTOUCHED:
+        UNTOUCHED[path] = Tokenizer.from_file(path)
+    return UNTOUCHED[path].encode(text or "", add_special_tokens=False).ids
 
 
 def test_units_give_the_ids_of_whole_texts(encoders):
-    texts = TRICKY + [row[1] for row in ODD if len(row[1] or "") < 1000]
+    texts = TRICKY + SPECIAL + [row[1] for row in ODD if len(row[1] or "") < 1000]
     for encoder in encoders:
         for text, ids in zip(texts, encoder.encode(pa.array(texts))):
             assert ids.tolist() == _whole(encoder, text), text
 
 
 def test_long_texts_in_blocks(encoders, monkeypatch):
-    text = " ".join(TRICKY) * 3
-    monkeypatch.setattr(tokens, "BLOCK_BYTES", 40)
-    for encoder in encoders:
-        (ids,) = encoder.encode(pa.array([text]))
-        assert ids.tolist() == _whole(encoder, text)
+    text = " ".join(TRICKY + SPECIAL) * 3
+    for size in (1, 7, 40, 300):
+        monkeypatch.setattr(tokens, "BLOCK_BYTES", size)
+        for encoder in encoders:
+            (ids,) = encoder.encode(pa.array([text]))
+            assert ids.tolist() == _whole(encoder, text)
 
 
 @settings(max_examples=200, deadline=None)
