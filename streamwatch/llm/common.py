@@ -98,6 +98,23 @@ def marked_by_id(rows: DataFrame, id_col: str, ids: DataFrame, mark: str) -> Dat
     return joined.withColumn(mark, _in_bitmap(own, bits)).drop(bucket, bits)
 
 
+#: A key is hot if it holds more than this share of all rows, so there are fewer hot keys than the inverse.
+HOT_SHARE = 1 / 4096
+
+
+def attached(rows: DataFrame, values: DataFrame, keys: list[str], hot: Column, spread_by: list[str]) -> DataFrame:
+    """Left join of ``rows`` to ``values``, one row per key; keys are not null. Keys for which ``hot`` holds, of which the caller
+    proves a bound, are broadcast; the rows of these are dealt out by ``spread_by``, as a shuffle by the key would send them to one task."""
+    taken = [name for name in values.columns if name not in keys]
+    spread, known = free_name(rows, "spread"), free_name(rows, "known")
+    few = values.filter(hot).select(*keys, F.lit(True).alias(known), *(F.col(name).alias(f"_few_{name}") for name in taken))
+    rest = values.filter(~hot).select(*keys, F.lit(0).alias(spread), *taken)
+    found = rows.join(F.broadcast(few), keys, "left")
+    place = F.when(F.col(known), F.pmod(F.xxhash64(*spread_by), F.lit(1 << 20)).cast("int") + 1).otherwise(0)
+    found = found.withColumn(spread, place).join(rest, [*keys, spread], "left")
+    return found.select(*rows.columns, *(F.coalesce(f"_few_{name}", name).alias(name) for name in taken))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -19,6 +19,7 @@ from .packing import pack_documents
 from .quality_model import fit_quality_model, score_quality
 from .quality_rules import fit_target_ratio, quality_rules
 from .secret_scan import listed, scan_secrets
+from .simhash import simhash_duplicates
 from .token_store import read_tokens, write_tokens
 
 
@@ -128,6 +129,12 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), capacity=2048, end_id=0)
 
 
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_duplicates(table(spark, sf_dir, "documents"), words=3)
+    digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_store": op1_token_store,
     "op2_license_scan": op2_license_scan,
@@ -139,4 +146,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_chat_format": op9_chat_format,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op13_simhash": op13_simhash,
 }
