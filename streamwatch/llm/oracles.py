@@ -42,4 +42,74 @@ _CHATS = r"""
          CAST(sum(14 + length(role || text) + length(regexp_replace(role || text, '[^\\<#]', '', 'g'))) AS BIGINT) AS formatted_chars
   FROM rows GROUP BY conv_id"""
 
-ORACLES: dict[str, str] = {"op7_arc_to_warc": _ARCHIVES, "op9_chat_format": _CHATS}
+#: Levels of a tree that the SQL states: sixteen to the sixth leaves.
+_LEVELS = 6
+
+
+def _tree_levels(name: str) -> str:
+    """From ``{name}0`` (tree, place, n, digest) the nodes of all levels, and what stands before and after each in its run."""
+    parts = []
+    for k in range(_LEVELS):
+        around = "string_agg(digest, '') OVER (PARTITION BY tree, place // 16 ORDER BY place ROWS BETWEEN"
+        parts.append(f"""
+      {name}{k}_runs AS MATERIALIZED (
+        SELECT tree, place, n, coalesce({around} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS head,
+               coalesce({around} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS tail
+        FROM {name}{k}
+      ),
+      {name}{k + 1} AS MATERIALIZED (
+        SELECT tree, place // 16 AS place, (any_value(n) + 15) // 16 AS n,
+               CASE WHEN any_value(n) = 1 THEN any_value(digest) ELSE sha256(string_agg(digest, '' ORDER BY place)) END AS digest
+        FROM {name}{k} GROUP BY tree, place // 16
+      )""")
+    return ",".join(parts)
+
+
+def _folds(name: str, nodes: str) -> str:
+    """Rows of ``{name}0`` (tree, place, digest, siblings and more) followed up the levels of ``nodes``."""
+    return ",".join(
+        f"""
+      {name}{k + 1} AS (
+        SELECT f.* REPLACE (f.place // 16 AS place, siblings || r.head || r.tail AS siblings,
+               CASE WHEN r.n = 1 THEN f.digest ELSE sha256(r.head || f.digest || r.tail) END AS digest)
+        FROM {name}{k} f JOIN {nodes}{k}_runs r USING (tree, place)
+      )"""
+        for k in range(_LEVELS)
+    )
+
+
+def _values(*columns: str) -> str:
+    return "sha256(" + " || ".join(f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in columns) + ")"
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 bit by bit: a byte goes in, then eight shifts."""
+    steps = f"flatten(list_transform(range(1, length({text}) + 1), lambda i: [CAST(ascii(substr({text}, i, 1)) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))"
+    shifted = "lambda c, x: xor(xor(c, x) >> 1, 3988292384 * (xor(c, x) & 1))"
+    return f"xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], {steps}), {shifted}), 4294967295)"
+
+
+_LOWER_TEXT = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_MANIFEST = f"""
+  WITH leaves AS MATERIALIZED (
+    SELECT doc_id, coalesce('=' || source, '') AS tree, {_values('doc_id', 'source', 'lang', 'n_chars', 'text')} AS leaf,
+           CASE WHEN {_crc32('CAST(doc_id AS VARCHAR)')} % 5 = 0 THEN {_values('doc_id', 'source', 'lang', 'n_chars', _LOWER_TEXT)} END AS altered
+    FROM documents
+  ),
+  numbered AS MATERIALIZED (
+    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY tree) AS n FROM leaves
+  ),
+  a0 AS MATERIALIZED (SELECT tree, place, n, leaf AS digest FROM numbered),
+  {_tree_levels('a')},
+  subroots AS MATERIALIZED (SELECT tree AS name, digest AS subroot, row_number() OVER (ORDER BY tree) - 1 AS place, count(*) OVER () AS n FROM a{_LEVELS}),
+  b0 AS MATERIALIZED (SELECT '' AS tree, place, n, subroot AS digest FROM subroots),
+  {_tree_levels('b')},
+  f0 AS (SELECT doc_id, leaf, tree, place, coalesce(altered, leaf) AS digest, '' AS siblings FROM numbered),
+  {_folds('f', 'a')},
+  g0 AS (SELECT doc_id, leaf, subroot, '' AS tree, s.place, digest, siblings FROM f{_LEVELS} f JOIN subroots s ON s.name = f.tree),
+  {_folds('g', 'b')}
+  SELECT doc_id, leaf, subroot, root, sha256(siblings) AS proof_sha256, digest AS folded_root, digest = root AS verified
+  FROM g{_LEVELS}, (SELECT digest AS root FROM b{_LEVELS})"""
+
+ORACLES: dict[str, str] = {"op7_arc_to_warc": _ARCHIVES, "op9_chat_format": _CHATS, "op12_merkle_manifest": _MANIFEST}

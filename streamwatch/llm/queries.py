@@ -14,6 +14,7 @@ from .chat import fold_events, format_conversations, read_turns
 from .common import stored, table
 from .decontamination import find_items
 from .license_scan import scan_licenses
+from .merkle import build_manifest, proofs
 from .near_dedup import near_duplicates
 from .packing import pack_documents
 from .quality_model import fit_quality_model, score_quality
@@ -129,6 +130,11 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), capacity=2048, end_id=0)
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's proof in the manifest of all, checked against altered texts."""
+    return proofs(build_manifest(table(spark, sf_dir, "documents"))).withColumnRenamed("id", "doc_id")
+
+
 def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_duplicates(table(spark, sf_dir, "documents"), words=3)
     digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
@@ -146,5 +152,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_chat_format": op9_chat_format,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op12_merkle_manifest": op12_merkle_manifest,
     "op13_simhash": op13_simhash,
 }
