@@ -112,4 +112,37 @@ _MANIFEST = f"""
   SELECT doc_id, leaf, subroot, root, sha256(siblings) AS proof_sha256, digest AS folded_root, digest = root AS verified
   FROM g{_LEVELS}, (SELECT digest AS root FROM b{_LEVELS})"""
 
-ORACLES: dict[str, str] = {"op7_arc_to_warc": _ARCHIVES, "op9_chat_format": _CHATS, "op12_merkle_manifest": _MANIFEST}
+_PHRASES = r"""
+  WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+  ),
+  lists AS MATERIALIZED (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS words FROM pieces),
+  sizes AS (SELECT lang, CAST(sum(len(words)) AS BIGINT) AS n FROM lists GROUP BY lang),
+  grams AS (
+    SELECT lang, m AS size, unnest(list_transform(range(1, len(words) - m + 2), lambda k: array_to_string(words[k : k + m - 1], ' '))) AS phrase
+    FROM lists, (VALUES (1), (2), (3)) AS sizes(m) WHERE len(words) >= m
+  ),
+  counts AS MATERIALIZED (SELECT lang, size, phrase, count(*) AS f FROM grams GROUP BY ALL),
+  candidates AS MATERIALIZED (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS words FROM counts WHERE size > 1 AND f >= 10),
+  covered AS (
+    SELECT lang, phrase, max(f) AS most
+    FROM (SELECT lang, unnest([words[1] || ' ' || words[2], words[2] || ' ' || words[3]]) AS phrase, a AS f FROM candidates WHERE size = 3)
+    GROUP BY ALL
+  ),
+  cuts AS (
+    SELECT lang, phrase, a, k, array_to_string(words[1 : k], ' ') AS head, array_to_string(words[k + 1 : size], ' ') AS rest
+    FROM candidates LEFT JOIN covered USING (lang, phrase), (VALUES (1), (2)) AS places(k)
+    WHERE k < size AND (most IS NULL OR 100 * most < 50 * a)
+  ),
+  scores AS (
+    SELECT c.lang, c.phrase, a, k, h.f AS l, t.f AS r, 1000000 * a::HUGEINT * a // (h.f::HUGEINT * t.f) AS score
+    FROM cuts c JOIN counts h ON h.lang = c.lang AND h.phrase = head JOIN counts t ON t.lang = c.lang AND t.phrase = rest
+  ),
+  weakest AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+  SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+  FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM weakest) JOIN sizes USING (lang)
+  WHERE rank <= 2000"""
+
+ORACLES: dict[str, str] = {"op7_arc_to_warc": _ARCHIVES, "op9_chat_format": _CHATS, "op11_phrase_mining": _PHRASES, "op12_merkle_manifest": _MANIFEST}

@@ -11,6 +11,7 @@ from streamwatch.session import fresh_folder
 
 from .archives import mark_revisits, read_arc, read_warc, write_arc, write_warc
 from .chat import fold_events, format_conversations, read_turns
+from .collocations import mine_phrases
 from .common import stored, table
 from .decontamination import find_items
 from .license_scan import scan_licenses
@@ -130,6 +131,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), capacity=2048, end_id=0)
 
 
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_phrases(table(spark, sf_dir, "documents"), longest=3, least=10, percent=50, top=2000)
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's proof in the manifest of all, checked against altered texts."""
     return proofs(build_manifest(table(spark, sf_dir, "documents"))).withColumnRenamed("id", "doc_id")
@@ -152,6 +157,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_chat_format": op9_chat_format,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_phrase_mining": op11_phrase_mining,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_simhash": op13_simhash,
 }
