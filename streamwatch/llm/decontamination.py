@@ -10,8 +10,8 @@ all documents, so a test set of any size needs bounded memory. Documents are sca
 
 Rules: letters are compared in lower case, a run of white space is one space. The budget is ``rate`` of an
 item's length, but never so large that a piece has fewer than ``piece`` characters. Items shorter than ``least``
-characters, and null ones, are found nowhere: they say too little. Equal items are searched once and
-reported each. A null text is empty. Rows are judged each for itself, repeated ones too; columns of other names do not matter.
+characters are found exactly, and only as whole words: an edit would make other words of them. Empty and null items are found nowhere. Equal items are
+searched once and reported each; an item without id is searched too, and reported with a null id. A null text is empty. Rows are judged each for itself, repeated ones too; columns of other names do not matter.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import stored
+
 RATE, PIECE, LEAST = 0.05, 20, 32
 #: Characters of test items that are searched in one pass over the documents.
 BLOCK_CHARS = 4_000_000
@@ -64,13 +66,14 @@ def least_distance(pattern: str, text: str, most: int) -> tuple[int, int] | None
 class ItemSearch:
     """Finds items of one block in texts."""
 
-    def __init__(self, items: list[tuple[int, str]], rate: float, piece: int):
+    def __init__(self, items: list[tuple[int | None, str]], rate: float, piece: int, least: int = LEAST):
         import ahocorasick
 
-        ids: dict[str, list[int]] = {}
+        self.least = least
+        ids: dict[str, list[int | None]] = {}
         for item, text in items:
             ids.setdefault(text, []).append(item)
-        self.items = [(text, own, max(0, min(int(rate * len(text)), len(text) // piece - 1))) for text, own in ids.items()]
+        self.items = [(text, own, 0 if len(text) < least else max(0, min(int(rate * len(text)), len(text) // piece - 1))) for text, own in ids.items()]
         pieces: dict[str, list[tuple[int, int]]] = {}
         for number, (text, _, budget) in enumerate(self.items):
             borders = [len(text) * k // (budget + 1) for k in range(budget + 2)]
@@ -82,7 +85,7 @@ class ItemSearch:
         if pieces:
             self.automaton.make_automaton()
 
-    def find(self, text: str) -> list[tuple[int, int, int, int]]:
+    def find(self, text: str) -> list[tuple[int | None, int, int, int]]:
         """(item id, distance, start, end) of each item within its budget, at its nearest place."""
         if not self.items:
             return []
@@ -96,6 +99,11 @@ class ItemSearch:
                     continue
                 tried.add((number, at))
                 item, _, budget = self.items[number]
+                if len(item) < self.least:
+                    borders = text[max(at - 1, 0) : at] + text[at + len(item) : at + len(item) + 1]
+                    if not any(c.isalnum() for c in borders):
+                        best[number] = (0, at, at + len(item))
+                    continue
                 if text.startswith(item, max(at, 0)) and at >= 0:
                     best[number] = (0, at, at + len(item))
                     continue
@@ -109,19 +117,20 @@ class ItemSearch:
         return [(item, *found) for number, found in sorted(best.items()) for item in self.items[number][1]]
 
 
-def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, least: int, block_chars: int) -> Iterator[list[tuple[int, str]]]:
+def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_chars: int) -> Iterator[list[tuple[int | None, str]]]:
     """The normalised items in blocks, in the order of their ids; the driver holds one block at a time."""
     block, size = [], 0
     for row in benchmark.select(F.col(item_col).cast("long").alias("id"), F.col(text_col).alias("text")).orderBy("id", "text").toLocalIterator():
         text = normalized(row.text)
-        if len(text) < least or row.id is None:
+        if not text:
             continue
         block.append((row.id, text))
         size += len(text)
         if size >= block_chars:
             yield block
             block, size = [], 0
-    yield block
+    if block:
+        yield block
 
 
 def find_items(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", rate: float = RATE, piece: int = PIECE, least: int = LEAST, block_chars: int = BLOCK_CHARS) -> DataFrame:
@@ -129,9 +138,9 @@ def find_items(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id",
     the normalised text."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
-    def search(block: list[tuple[int, str]]) -> DataFrame:
+    def search(block: list[tuple[int | None, str]]) -> DataFrame:
         def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            searcher = ItemSearch(block, rate, piece)
+            searcher = ItemSearch(block, rate, piece, least)
             for batch in batches:
                 found = [(doc.as_py(), *hit) for doc, text in zip(*batch.columns) for hit in searcher.find(text.as_py())]
                 kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
@@ -139,9 +148,10 @@ def find_items(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id",
 
         return texts.mapInArrow(rows, RESULT)
 
-    result = None
-    for block in item_blocks(benchmark, item_col, item_text_col, least, block_chars):
-        result = search(block) if result is None else result.unionByName(search(block))
+    result = docs.sparkSession.createDataFrame([], RESULT)
+    for block in item_blocks(benchmark, item_col, item_text_col, block_chars):
+        # a block's finds are stored, so that no task holds the automata of several
+        result = result.unionByName(stored(search(block), "items-found"))
     return result
 
 
@@ -149,14 +159,16 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, text_col: str =
     """The rows of ``docs`` in which no item is found."""
     at = docs.columns.index(text_col)
 
-    def without(block: list[tuple[int, str]], rows: DataFrame) -> DataFrame:
+    def without(block: list[tuple[int | None, str]], rows: DataFrame) -> DataFrame:
         def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            searcher = ItemSearch(block, rate, piece)
+            searcher = ItemSearch(block, rate, piece, least)
             for batch in batches:
                 yield batch.filter(pa.array([not searcher.find(text.as_py()) for text in batch.column(at)], pa.bool_()))
 
         return rows.mapInArrow(clean, docs.schema)
 
-    for block in item_blocks(benchmark, item_col, item_text_col, least, block_chars):
-        docs = without(block, docs)
+    blocks = item_blocks(benchmark, item_col, item_text_col, block_chars)
+    for k, block in enumerate(blocks):
+        # what the block before left is stored, so that no task holds the automata of several
+        docs = without(block, stored(docs, "without-items") if k else docs)
     return docs

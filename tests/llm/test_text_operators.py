@@ -93,7 +93,7 @@ def test_bit_parallel_distance(pattern, text, most):
 def test_items_against_all_distances(spark, documents):
     draw = random.Random(4)
     passage = lambda n: " ".join("".join(draw.choices("abcdefg", k=draw.randint(2, 7))) for _ in range(n))
-    items = [(k, passage(12)) for k in range(6)] + [(9, None), (10, "short one"), (11, "")]
+    items = [(k, passage(12)) for k in range(6)] + [(9, None), (10, "short one"), (11, ""), (13, "abc"), (None, "zz"), (14, "x; y")]
     items.append((12, items[0][1]))
     texts = []
     for k in range(40):
@@ -104,7 +104,7 @@ def test_items_against_all_distances(spark, documents):
                 at = draw.randrange(len(own))
                 own[at : at + draw.randint(0, 2)] = draw.choices("xyz", k=draw.randint(0, 1))
             text += "\n " + "".join(own).upper() + "  " + passage(5)
-        texts.append((k, text))
+        texts.append((k, text + [" ABC. ", " a Short\nOne", "_abc", " zz", " zzz short ones", " x;  y"][k] if k < 6 else text))
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     expected = set()
     for doc, text in texts:
@@ -115,6 +115,8 @@ def test_items_against_all_distances(spark, documents):
                 distance = _distance(pattern, decontamination.normalized(text))
                 if distance <= budget:
                     expected.add((doc, item, distance))
+            elif pattern and re.search(rf"(?<![^\W_]){re.escape(pattern)}(?![^\W_])", decontamination.normalized(text)):
+                expected.add((doc, item, 0))
     docs = documents(texts)
     for chars in (1, 10**6):  # one item a block, and one block
         found = decontamination.find_items(docs, benchmark, block_chars=chars).collect()
