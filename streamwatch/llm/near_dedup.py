@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import as_texts, free_name, groups_of, rows_by_id, stored, text_bytes
+from .common import HOT_SHARE, as_texts, attached, free_name, groups_of, rows_by_id, stored, text_bytes
 
 BITS = 16
 CHUNK = 5
@@ -342,8 +342,11 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     described = stored(_described(rows, words, CHUNK * chunks), "signatures")
     named = described.filter("doc_id is not null and n_shingles > 0")
-    texts = named.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("text_id"))
-    members = stored(named.select("doc_id", "set_a", "set_b").join(texts, ["set_a", "set_b"]).select("doc_id", "text_id").distinct(), "members")
+    texts = stored(named.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("text_id"), F.count("*").alias("copies")), "named-texts")
+    total = texts.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
+    # a large group of exact copies is not joined with its name in one task
+    members = attached(named.select("doc_id", "set_a", "set_b"), texts, ["set_a", "set_b"], F.col("copies") > int(total * HOT_SHARE), ["doc_id"])
+    members = stored(members.select("doc_id", "text_id").distinct(), "members")
     whole = named.select(F.col("doc_id").alias("text_id"), "signature").join(members.select("text_id").distinct(), "text_id")
     whole = stored(whole, "texts")
     keyed = _keyed(whole).repartition("key")
