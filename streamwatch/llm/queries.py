@@ -100,6 +100,8 @@ def conversation_events(conversations: DataFrame) -> DataFrame:
     """The log of a chat service that would have led to these turns: the first half of a message is streamed,
     thrown away and generated again, then the rest is streamed."""
     rows = conversations.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    # the log is partitioned by conversation once; all that follows stays there
+    rows = rows.repartition("conv_id")
     # repeated rows are turns of their own
     turns = rows.groupBy("conv_id", "turn").agg(F.sort_array(F.collect_list(F.struct("role", "text"))).alias("said"))
     turns = turns.select("conv_id", "turn", F.posexplode("said").alias("copy", "said"))
