@@ -12,7 +12,7 @@ packing problem is a histogram of at most ``capacity`` counts. The driver solves
    sequences of one remaining room handled together.
 
 The plan is a table of at most a few entries per length. Spark numbers the pieces of each
-length, with salts so that a length that a third of all documents has is no single task, and
+length, those of a frequent length in several tasks, and
 finds each one's sequence by a join with the plan.
 
 Rules: a null text is empty and gives one piece, its end id. Rows with the same document id
@@ -29,9 +29,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import shuffle_partitions, stored
+from .common import stored
 from .tokens import encoder
 
+#: Pieces of one length that a task numbers; the number does not follow the session or the size of the table.
+PER_TASK = 50_000
 PIECES = "doc_id long, piece int, start long, length int, ids binary"
 PLAN = "length int, first long, last long, per_sequence long, sequence long, place int"
 
@@ -177,16 +179,20 @@ def packing_plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int,
     return rows
 
 
-def pack_pieces(pieces: DataFrame, capacity: int, salts: int | None = None) -> DataFrame:
+def pack_pieces(pieces: DataFrame, capacity: int, per_task: int = PER_TASK) -> DataFrame:
     """``pieces`` (doc_id, piece, length and more) with sequence_id and offset. They are read
-    twice, so they should be a stored table."""
+    three times, so they should be a stored table."""
     spark = pieces.sparkSession
-    salts = salts or shuffle_partitions(spark)
-    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)).cast("int"))
-    sizes = salted.groupBy("length", "_salt").agg(F.count("*").alias("_n"))
-    sizes = stored(sizes, "piece-counts")  # at most capacity x salts rows
-    counts = {row.length: row.n for row in sizes.groupBy("length").agg(F.sum("_n").alias("n")).collect()}
+    counts = {row.length: row.n for row in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most ``capacity`` rows
     plan = spark.createDataFrame(packing_plan(counts, capacity), PLAN)
+    # lengths that many pieces have are dealt out; there are at most ``capacity`` of them
+    many = [(length, -(-n // per_task)) for length, n in sorted(counts.items()) if n > per_task]
+    salts = F.lit(1)
+    if many:
+        salts = F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for pair in many for x in pair)), F.col("length").cast("int")), F.lit(1))
+    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece"), salts).cast("int"))
+    # a row for each length, and one more for each ``per_task`` pieces
+    sizes = stored(salted.groupBy("length", "_salt").agg(F.count("*").alias("_n")), "piece-counts")
     before = Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
     bases = sizes.select("length", "_salt", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
     own = Window.partitionBy("length", "_salt").orderBy("doc_id", "piece", "start")
