@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from streamwatch.functions.sketches import ACCURACY
 from streamwatch.functions.values import finite, z_score
 from streamwatch.operators.window_stats import (
-    ACCURACY,
     Measures,
     moments,
     per_window,

@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from streamwatch.functions.sketches import ACCURACY
 from streamwatch.functions.values import all_of, finite
 from streamwatch.operators.window_stats import (
-    ACCURACY,
     Measures,
     extremes,
     moments,

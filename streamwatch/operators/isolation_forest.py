@@ -1,28 +1,32 @@
 """Isolation forest: trees grown from small samples, scoring in Arrow batches.
 
 Only the samples leave the executors that scan the data. Their size, and so the
-size of the model, follows from the parameters and not from the data.
+size of the model, follows from the parameters and not from the data. A row draws a number for each tree, and a tree takes the rows
+with the least; every task keeps the least of its own while it counts its rows, so one read does both, and samples merge as the least of the least.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from streamwatch.functions.values import all_of, finite, uniform
-from streamwatch.operators.window_stats import merged_in_two_steps
+from streamwatch.functions.sketches import quantiles, sketch_size, sketched
+from streamwatch.functions.values import all_of, finite
 from streamwatch.schema import require_columns
 from streamwatch.session import checkpoint_root
 
 EULER_GAMMA = 0.5772156649015329
 CONTAMINATION = 0.05
 MAX_NODES = 2_000_000
+#: One over the rank error of the threshold.
+THRESHOLD_ACCURACY = 10_000
 
 # `child` is the left child, the right one follows it; a leaf has none (-1).
 NODE_SCHEMA = "tree int, node int, feature int, split double, child int, path double, sample int"
@@ -181,52 +185,93 @@ def fit_isolation_forest(
     contamination: float = CONTAMINATION,
     seed: int = 42,
     max_nodes: int = MAX_NODES,
+    draw_by: Sequence[str] | None = None,
 ) -> IsolationForestModel:
-    """Grow the forest, then set the threshold that flags ``contamination`` of ``df``.
+    """Grow the forest, then set the threshold that flags ``contamination`` of ``df``, and no more.
 
-    The same input in the same partitions gives the same forest again. ``max_nodes`` guards the
-    driver's memory: a forest that could have more nodes is refused.
+    With ``draw_by``, columns that tell rows apart, the same rows give the same forest however they are partitioned; without it
+    draws follow a row's position, so that copies of a row draw each for itself. ``max_nodes`` guards the
+    driver's memory: a forest that could have more nodes is refused. ``df`` is read twice.
     """
-    require_columns(df, features)
+    require_columns(df, [*features, *(draw_by or ())])
     if trees * (2 * sample_size - 1) > max_nodes:
         raise ValueError(f"more than {max_nodes} nodes: the model would not fit in memory")
     names = [f"__f{i}" for i in range(len(features))]
-    usable = df.select(*(finite(f).alias(n) for f, n in zip(features, names))).where(
-        all_of([F.col(n).isNotNull() for n in names])
-    )
-
-    rows = usable.count()
+    if draw_by is None:
+        number = F.monotonically_increasing_id()
+    else:
+        number = F.xxhash64(*draw_by)
+    numbered = df.select(number.alias("__row"), *(finite(f).alias(n) for f, n in zip(features, names)))
+    usable = numbered.where(all_of([F.col(n).isNotNull() for n in names]))
+    rows, draws = _least_draws(usable, names, trees, sample_size, seed)
     if rows < 2:
         raise ValueError("a forest needs at least two rows whose features are numbers")
-    draws = _drawn_samples(usable, rows, trees, sample_size, seed)
     grower = _tree_grower(names, min(sample_size, rows), seed)
     grown = draws.groupBy("tree").applyInPandas(grower, NODE_SCHEMA)
     # at most `trees` times `2 * sample_size - 1` rows, checked above
     forest = IsolationForestModel(tuple(features), grown.toPandas())
 
     scored = df.select(forest.score(df.sparkSession).alias("score"))
-    cut = F.percentile_approx("score", 1.0 - contamination).alias("cut")
-    threshold = merged_in_two_steps(scored, [], [cut]).first()["cut"]
-    return IsolationForestModel(forest.features, forest.nodes, threshold)
+    sketch = sketched(scored, [], ["score"], sketch_size(THRESHOLD_ACCURACY))
+    # the sketch's error upwards, so that no more than the share is flagged
+    rank = min(1.0, 1.0 - contamination + 1 / THRESHOLD_ACCURACY)
+    (cut,) = sketch.select(F.get(quantiles("score_sketch", "score_n", [rank]), F.lit(0))).first()
+    return IsolationForestModel(forest.features, forest.nodes, cut)
 
 
-def _drawn_samples(
-    usable: DataFrame, rows: int, trees: int, sample_size: int, seed: int
-) -> DataFrame:
-    """The rows that each tree draws, with their draws: every row draws a number per tree from its
-    position and the tree, and those below a common bound go. The bound lets ten deviations more rows through than a
-    tree needs; of these it takes the smallest draws. One rule for tables of every size.
-    """
-    names = usable.columns
-    wanted = min(sample_size, rows)
-    bound = min(1.0, (wanted + 10 * math.sqrt(wanted) + 20) / rows)
-    draw = lambda tree: uniform("row", tree, F.lit(seed))
-    numbered = usable.withColumn("row", F.monotonically_increasing_id())
-    chosen = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda tree: draw(tree) < bound)
-    drawn = numbered.withColumn("tree", F.explode(chosen)).withColumn("draw", draw(F.col("tree")))
+def _least_draws(
+    usable: DataFrame, names: Sequence[str], trees: int, sample_size: int, seed: int
+) -> tuple[int, DataFrame]:
+    """How many rows there are, and per tree the ``sample_size`` rows with the least draws, as (tree, draw, features)."""
     checkpoint_root(usable.sparkSession)
-    drawn = drawn.select("tree", "draw", *names).checkpoint()
-    sizes = drawn.groupBy("tree").count().filter(F.col("count") >= wanted)
-    if sizes.count() < trees:
-        raise RuntimeError("a tree drew too few rows; choose another seed")
-    return drawn
+    features = len(names)
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def mixed(x: np.ndarray) -> np.ndarray:
+            x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+            x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+            return x ^ (x >> np.uint64(31))
+
+        own = mixed(np.arange(1, trees + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed & (2**64 - 1)))
+        bound = np.full(trees, np.iinfo(np.uint64).max, np.uint64)
+        kept = [np.zeros(0, np.int32), np.zeros(0, np.uint64), np.zeros((0, features))]
+        new, waiting, count = [], 0, 0
+
+        def least() -> None:
+            nonlocal kept, new, waiting
+            tree, draws, values = (np.concatenate(parts) for parts in zip(kept, *new))
+            order = np.lexsort((*values.T[::-1], draws, tree))
+            tree, draws, values = tree[order], draws[order], values[order]
+            rank = np.arange(len(tree)) - np.searchsorted(tree, tree)
+            full = rank == sample_size - 1
+            bound[tree[full]] = draws[full]
+            kept, new, waiting = [tree[rank < sample_size], draws[rank < sample_size], values[rank < sample_size]], [], 0
+
+        for batch in batches:
+            count += batch.num_rows
+            rows = mixed(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
+            values = np.column_stack([batch.column(1 + k).to_numpy(zero_copy_only=False) for k in range(features)]) if batch.num_rows else np.zeros((0, features))
+            for at in range(0, len(rows), 1024):
+                draws = mixed(rows[at : at + 1024, None] ^ own)
+                place, tree = np.nonzero(draws <= bound)
+                new.append((tree.astype(np.int32), draws[place, tree], values[at + place]))
+                waiting += len(tree)
+                if waiting > 2 * trees * sample_size:
+                    least()
+        if new:
+            least()
+        signed = (kept[1] ^ np.uint64(1 << 63)).view(np.int64)
+        columns = [np.append(kept[0], -1), np.append(signed, count), *(np.append(kept[2][:, k], 0.0) for k in range(features))]
+        kinds = [pa.int32(), pa.int64(), *[pa.float64()] * features]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["tree", "draw", *names])
+
+    schema = ", ".join(["tree int", "draw long", *(f"{name} double" for name in names)])
+    told = usable.mapInArrow(draw, schema).checkpoint()
+    rows = told.filter("tree < 0").agg(F.coalesce(F.sum("draw"), F.lit(0))).first()[0]
+    draws = told.filter("tree >= 0")
+    # the least of each slot first, so that no task orders what all tasks told of a tree
+    for group in (["tree", "slot"], ["tree"]):
+        order = Window.partitionBy(*group).orderBy("draw", *names)
+        draws = draws.withColumn("slot", F.pmod("draw", F.lit(64))).withColumn("rank", F.row_number().over(order))
+        draws = draws.filter(F.col("rank") <= sample_size)
+    return rows, draws.select("tree", "draw", *names)

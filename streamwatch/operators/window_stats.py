@@ -8,13 +8,12 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from streamwatch.functions.sketches import quantiles, sketch_size
 from streamwatch.functions.values import event_time, finite
 from streamwatch.schema import require_columns
 
 WINDOW = "__window"
 CLOCK = "__clock"
-ACCURACY = 10_000  # Spark's default for approximate percentiles
-MERGE_SLOTS = 512
 
 
 def _name_of(column: Column) -> str:
@@ -35,7 +34,6 @@ class Measures:
     inputs: dict[str, Column] = field(default_factory=dict)
     aggregates: tuple[Column, ...] = ()
     outputs: tuple[Column, ...] = ()
-    has_digests: bool = False
     #: exact percentiles: the input, and the name and share of each
     exact: dict[str, dict[str, float]] = field(default_factory=dict)
 
@@ -48,7 +46,6 @@ class Measures:
             {**self.inputs, **other.inputs},
             self.aggregates + other.aggregates,
             self.outputs + other.outputs,
-            self.has_digests or other.has_digests,
             {**self.exact, **other.exact},
         )
 
@@ -75,49 +72,16 @@ def aggregate_windows(rows: DataFrame, measures: Measures, keys: Sequence[str])
     inputs = [column.alias(name) for name, column in measures.inputs.items()]
     rows = rows.select(WINDOW, *keys, *inputs)
     if measures.exact:
-        grouped = _with_exact_percentiles(rows, measures, keys)
-    elif measures.has_digests and not rows.isStreaming:
-        grouped = merged_in_two_steps(rows, [WINDOW, *keys], measures.aggregates)
+        from streamwatch.plans.exact_percentiles import aggregate_with_percentiles
+
+        if rows.isStreaming:
+            raise ValueError("exact percentiles need a table; give a stream an accuracy")
+        grouped = aggregate_with_percentiles(rows, measures, keys)
     else:
         grouped = rows.groupBy(WINDOW, *keys).agg(*measures.aggregates)
     return grouped.select(WINDOW, *keys, *measures.outputs)
 
 
-def _with_exact_percentiles(rows: DataFrame, measures: Measures, keys: Sequence[str]) -> DataFrame:
-    from streamwatch.plans.exact_percentiles import exact_percentiles
-
-    if rows.isStreaming:
-        raise ValueError("exact percentiles need a table; give a stream an accuracy")
-    # a group without aggregates is still a group
-    grouped = rows.groupBy(WINDOW, *keys).agg(*measures.aggregates, F.count("*").alias("__group_size"))
-    renamed = {"window_start": "__at_window", **{key: f"__at_{i}" for i, key in enumerate(keys)}}
-    for column, cuts in measures.exact.items():
-        found = exact_percentiles(rows, keys, column, cuts).withColumnsRenamed(renamed)
-        same = F.col(f"{WINDOW}.start") == F.col("__at_window")
-        for key in keys:
-            same &= F.col(key).eqNullSafe(F.col(renamed[key]))
-        grouped = grouped.join(found, same, "left").drop(*renamed.values())
-    return grouped
-
-
-def merged_in_two_steps(
-    rows: DataFrame, keys: Sequence[str], aggregates: Sequence[Column]
-) -> DataFrame:
-    """``rows.groupBy(keys).agg(aggregates)`` for aggregates that are costly to merge.
-
-    Merging two percentile digests takes milliseconds, and a group that all tasks
-    of a large scan contribute to would merge all of theirs in one task. Spark plans
-    an aggregation that has a distinct count in two steps, first by the group and
-    the counted value, then by the group. Counting slots of scan tasks thus spreads
-    the merging of one group over ``MERGE_SLOTS`` tasks.
-    """
-    slots = "__merge_slots"
-    slotted = rows.withColumn(slots, F.pmod(F.spark_partition_id(), F.lit(MERGE_SLOTS)))
-    grouped = slotted.groupBy(*keys).agg(*aggregates, F.count_distinct(slots).alias(slots))
-    # always true, but an unused count would be optimised away
-    return grouped.filter(F.col(slots) > 0).drop(slots)
-
-
 def flatten_window(df: DataFrame) -> DataFrame:
     """Replace the window by its start and end."""
     others = [c for c in df.columns if c != WINDOW]
@@ -166,16 +130,16 @@ def extremes(value: str) -> Measures:
 def percentiles(
     name: str, column: Column, cuts: dict[str, float], accuracy: int | None
 ) -> Measures:
-    """Approximate percentiles, all from one digest per group; without ``accuracy`` exact ones."""
+    """Approximate percentiles, all from one sketch per group; without ``accuracy`` exact ones."""
     if accuracy is None:
         outputs = tuple(F.col(cut) for cut in cuts)
         return Measures({f"__{name}": column}, (), outputs, exact={f"__{name}": cuts})
-    digest = F.percentile_approx(f"__{name}", list(cuts.values()), accuracy)
+    sketch = F.kll_sketch_agg_double(f"__{name}", F.lit(sketch_size(accuracy))).alias(f"__{name}_sketch")
+    found = quantiles(f"__{name}_sketch", f"__{name}_n", list(cuts.values()))
     return Measures(
         {f"__{name}": column},
-        (digest.alias(f"__{name}_cuts"),),
-        tuple(F.get(f"__{name}_cuts", i).alias(cut) for i, cut in enumerate(cuts)),
-        has_digests=True,
+        (sketch, F.count(f"__{name}").alias(f"__{name}_n")),
+        tuple(F.get(found, F.lit(i)).alias(cut) for i, cut in enumerate(cuts)),
     )
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from streamwatch.functions.sketches import GROUP_ROWS
 from streamwatch.functions.values import all_of
 from streamwatch.operators.window_stats import (
     WINDOW,
@@ -23,7 +24,6 @@ from streamwatch.operators.window_stats import (
 from streamwatch.schema import require_columns
 from streamwatch.session import checkpoint_root
 
-GROUP_ROWS = "__group_rows"
 SALT = "__salt"
 
 # A group is hot if it holds more than this share of all rows, so there are
@@ -158,6 +158,9 @@ def _hashed_size(stats: DataFrame, keys: Sequence[str]) -> Column:
     for name in keys:
         if isinstance(stats.schema[name].dataType, (T.StringType, T.BinaryType)):
             bytes_per_row += 2 * F.coalesce(F.octet_length(name), F.lit(0))
+    for field in stats.schema:
+        if isinstance(field.dataType, T.ArrayType):
+            bytes_per_row += 64 * F.coalesce(F.size(field.name), F.lit(0))
     return F.coalesce(F.sum(bytes_per_row), F.lit(0))
 
 

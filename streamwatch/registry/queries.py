@@ -25,6 +25,7 @@ from streamwatch.functions.messages import (
     stamp_missing_time,
     with_validity,
 )
+from streamwatch.functions.sketches import ACCURACY
 from streamwatch.functions.values import event_time, utc_clock
 from streamwatch.operators.anomaly import (
     flagged_only,
@@ -44,7 +45,7 @@ from streamwatch.operators.drift import (
 )
 from streamwatch.operators.isolation_forest import IsolationForestModel, fit_isolation_forest
 from streamwatch.operators.scoring import load_model, save_model, score_events, train_classifier
-from streamwatch.operators.window_stats import ACCURACY, amount_statistics
+from streamwatch.operators.window_stats import amount_statistics
 from streamwatch.session import fresh_folder
 from streamwatch.sources.files import read_csv, stream_files
 from streamwatch.streaming.jobs import anomaly_job, drift_job, scoring_job
@@ -291,7 +292,7 @@ def isolation_scores(spark, sf_dir):
     """A fitted forest by what holds for any: all rows have a score, no more than the asked share is flagged,
     and the 20 largest amounts are."""
     source = events(spark, sf_dir)
-    judged = fit_isolation_forest(source, ["value"]).transform(source)
+    judged = fit_isolation_forest(source, ["value"], draw_by=["event_id"]).transform(source)
     largest = judged.orderBy(F.desc("value"), "event_id").limit(20)
     return judged.agg(
         F.count("anomaly_score").alias("scored_rows"),

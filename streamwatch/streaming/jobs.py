@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from streamwatch.functions.messages import decode_events
+from streamwatch.functions.sketches import ACCURACY
 from streamwatch.operators.anomaly import flagged_only, iqr_anomalies, zscore_anomalies
 from streamwatch.operators.drift import (
-    ACCURACY,
     BASELINE_RATE_PERCENT,
     DATA_THRESHOLD,
     LABEL_THRESHOLD,

@@ -136,3 +136,24 @@ def test_usual_path():
     assert usual_path(1) == 0 and usual_path(2) == 1
     harmonic = sum(1 / i for i in range(1, 256))
     assert math.isclose(usual_path(256), 2 * harmonic - 2 * 255 / 256, rel_tol=1e-3)
+
+
+def test_keyed_draws_do_not_hang_on_partitions(spark):
+    rows = spark.range(30_000).select("id", (F.hash("id") % 1000).cast("double").alias("Amount"))
+    forests = [fit_isolation_forest(rows.repartition(n), trees=20, draw_by=["id"]).nodes for n in (1, 5, 50)]
+    assert forests[0].equals(forests[1]) and forests[0].equals(forests[2])
+    other = fit_isolation_forest(rows, trees=20, draw_by=["id"], seed=7).nodes
+    assert not forests[0].equals(other)
+
+
+def test_draws_are_the_least_of_all(spark):
+    """By brute force over the same draws."""
+    from streamwatch.operators.isolation_forest import _least_draws
+
+    rows = spark.range(3000).select(F.xxhash64("id").alias("__row"), F.col("id").cast("double").alias("x"))
+    few, many = (_least_draws(rows.repartition(n), ["x"], 3, k, 1) for n, k in ((7, 20), (1, 3000)))
+    assert few[0] == many[0] == 3000
+    own = {tree: sorted((r.draw, r.x) for r in many[1].collect() if r.tree == tree) for tree in range(3)}
+    assert all(len(rows) == 3000 for rows in own.values()) and own[0] != own[1]
+    for tree in range(3):
+        assert sorted((r.draw, r.x) for r in few[1].collect() if r.tree == tree) == own[tree][:20]
