@@ -28,8 +28,8 @@ import pyarrow as pa
 from .common import as_texts, groups_of, text_bytes
 
 #: Bytes of text that are cut at once, and distinct units kept in memory by a worker.
-BLOCK_BYTES = 8 << 20
-KEPT_UNITS = 600_000
+BLOCK_BYTES = 2 << 20
+KEPT_UNITS = 200_000
 
 _SPACE, _LETTER, _DIGIT, _SIGN, _OTHER = range(5)
 _KIND = np.full(256, _OTHER, np.uint8)
