@@ -1,7 +1,8 @@
 """The three monitoring jobs, from raw messages to a running query.
 
 A job takes the raw messages, so it runs the same on a topic, on files or on a
-test source, and returns the started query.
+test source, and returns the started query. It takes events as well, a stream with the fields of one, such as
+:func:`streamwatch.streaming.ingest.stream_route` gives: then unreadable and late messages have been put aside before.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from streamwatch.operators.drift import (
 )
 from streamwatch.operators.isolation_forest import IsolationForestModel
 from streamwatch.operators.scoring import score_events
+from streamwatch.schema import EVENT_SCHEMA
 from streamwatch.streaming.sinks import to_console, to_files, to_reports
 
 METHODS = ("zscore", "iqr", "isolation_forest")
@@ -42,7 +44,7 @@ def scoring_job(
     drain: bool = False,
 ) -> StreamingQuery:
     """Score every message; without ``path`` the scores go to the console."""
-    scored = score_events(decode_events(messages, keep=keep), model)
+    scored = score_events(_events(messages, keep=keep), model)
     output = scored.select(
         *keep, "timestamp", "Amount", "Class", "is_fraud", "fraud_probability"
     )
@@ -62,24 +64,27 @@ def anomaly_job(
     path: str | None = None,
     checkpoint: str | None = None,
     keep: Sequence[str] = (),
+    keys: Sequence[str] = (),
     every: str | None = None,
     drain: bool = False,
 ) -> StreamingQuery:
-    """Report anomalies: of each window once it has closed, or by a fitted ``forest`` at once."""
+    """Report anomalies: of each window (and ``keys``, columns of the messages) once it has closed, or by a fitted ``forest`` at once."""
     if method not in METHODS:
         raise ValueError(f"unknown method {method!r}, choose from {METHODS}")
     if method == "isolation_forest":
         if forest is None:
             raise ValueError("the isolation forest must be fitted on a table first")
         columns = ["timestamp", *forest.features]
-        judged = forest.transform(decode_events(messages, columns=columns, keep=keep))
+        judged = forest.transform(_events(messages, columns=columns, keep=[*keep, *keys]))
     else:
-        events = decode_events(messages, columns=["timestamp", "Amount"], keep=keep)
+        events = _events(messages, columns=["timestamp", "Amount"], keep=[*keep, *keys])
         if method == "zscore":
-            judged = zscore_anomalies(events, window=window, threshold=threshold, delay=delay)
+            judged = zscore_anomalies(
+                events, window=window, threshold=threshold, delay=delay, keys=keys
+            )
         else:
             judged = iqr_anomalies(
-                events, window=window, multiplier=multiplier, delay=delay, accuracy=accuracy
+                events, window=window, multiplier=multiplier, delay=delay, accuracy=accuracy, keys=keys
             )
     return _append(flagged_only(judged), path, checkpoint, every, drain)
 
@@ -101,11 +106,11 @@ def drift_job(
 ) -> StreamingQuery:
     """Keep the drift reports and alerts up to date; with a model, those on predictions too."""
     if model is None:
-        events = decode_events(messages, columns=["timestamp", "Amount", "Class"])
+        events = _events(messages, columns=["timestamp", "Amount", "Class"])
         report = monitoring_report(events, window=window, delay=delay, accuracy=accuracy)
     else:
         report = monitoring_report(
-            score_events(decode_events(messages), model),
+            score_events(_events(messages), model),
             probability_col="fraud_probability",
             prediction_col="is_fraud",
             window=window,
@@ -119,6 +124,15 @@ def drift_job(
     return to_reports(report, path, _required(checkpoint), every=every, drain=drain)
 
 
+def _events(
+    messages: DataFrame, *, columns: Sequence[str] | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
+    """The fields of raw messages, or of what is already decoded."""
+    if "value" in messages.columns:
+        return decode_events(messages, columns=columns, keep=keep)
+    return messages.select(*keep, *(columns or EVENT_SCHEMA.fieldNames()))
+
+
 def _append(
     df: DataFrame, path: str | None, checkpoint: str | None, every: str | None, drain: bool
 ) -> StreamingQuery:

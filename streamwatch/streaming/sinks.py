@@ -10,6 +10,10 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from streamwatch.operators.drift import report_parts
 from streamwatch.session import fresh_folder
+from streamwatch.streaming.store import VERSION, Record, Store, newest_states
+
+#: Batches of a report after which their folders are merged.
+COMPACT_EVERY = 20
 
 
 def _writer(df: DataFrame, mode: str, every: str | None, drain: bool) -> DataStreamWriter:
@@ -63,36 +67,51 @@ def to_reports(
     checkpoint: str,
     *,
     keys: Sequence[str] = (),
+    compact_every: int = COMPACT_EVERY,
     every: str | None = None,
     drain: bool = False,
 ) -> StreamingQuery:
     """Write the parts of a monitoring report from one query, in update mode.
 
-    Each batch holds the windows that changed. It goes to a folder of its own,
-    replaced if the batch is repeated after a failure. Read with ``read_report``.
+    Each batch holds the windows that changed, and counts with all its parts or not at all. After ``compact_every``
+    batches their folders are merged into one that holds the newest state of every window, so that the number of folders stays bounded.
+    Read with ``read_report``.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        store = Store(batch.sparkSession, path)
+        if store.is_done(batch_id):
+            return
+        name, before = f"batch-{batch_id:09d}", store.last() or Record(-1)
         batch = batch.persist()
         try:
-            for name, part in report_parts(batch, keys).items():
+            for part, rows in report_parts(batch, keys).items():
                 # few, evenly filled files instead of one per state partition
-                part = part.hint("rebalance")
-                part.write.mode("overwrite").parquet(f"{path}/{name}/batch_id={batch_id}")
+                rows = rows.withColumn(VERSION, F.lit(batch_id).cast("long")).hint("rebalance")
+                rows.write.mode("overwrite").parquet(f"{store.path}/{name}/{part}")
         finally:
             batch.unpersist()
+        record = Record(batch_id, before.base, (*before.versions, name))
+        store.commit(record)
+        if len(record.versions) >= compact_every:
+            _compact(store, record, keys)
 
     writer = _writer(report, "update", every, drain).foreachBatch(write)
     return writer.option("checkpointLocation", checkpoint).start()
 
 
+def _compact(store: Store, record: Record, keys: Sequence[str]) -> None:
+    name = f"merged-{record.batch_id:09d}"
+    for part in store.folder.names(record.versions[-1]):
+        merged = newest_states(store.read(part), ["window_start", "window_end", *keys])
+        merged.hint("rebalance").write.mode("overwrite").parquet(f"{store.path}/{name}/{part}")
+    replaced = tuple(folder for folder in (record.base, *record.versions) if folder)
+    store.commit(Record(record.batch_id, name, (), replaced))
+
+
 def read_report(spark: SparkSession, path: str, name: str, keys: Sequence[str] = ()) -> DataFrame:
-    """The newest state of every window in one part of the report."""
-    versions = spark.read.parquet(f"{path}/{name}")
-    group = ["window_start", "window_end", *keys]
-    values = [c for c in versions.columns if c not in (*group, "batch_id")]
-    newest = F.max_by(F.struct(*values), F.col("batch_id")).alias("newest")
-    return versions.groupBy(*group).agg(newest).select(*group, "newest.*")
+    """The newest state of every window in one part of the report, of committed batches only."""
+    return newest_states(Store(spark, path).read(name), ["window_start", "window_end", *keys]).drop(VERSION)
 
 
 def await_queries(queries: Sequence[StreamingQuery], poll_seconds: float = 1) -> None:
