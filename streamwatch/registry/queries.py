@@ -46,9 +46,12 @@ from streamwatch.operators.drift import (
 from streamwatch.operators.isolation_forest import IsolationForestModel, fit_isolation_forest
 from streamwatch.operators.scoring import load_model, save_model, score_events, train_classifier
 from streamwatch.operators.window_stats import amount_statistics
+from streamwatch.schema import FEATURE_COLUMNS
 from streamwatch.session import fresh_folder
-from streamwatch.sources.files import read_csv, stream_files
+from streamwatch.sources.files import SLICE, publish_slices, read_csv, read_csv_inferred, sliced_by_time, stream_files
+from streamwatch.streaming.ingest import ROUTES, ingest_counts, ingest_job, read_route, stream_route
 from streamwatch.streaming.jobs import anomaly_job, drift_job, scoring_job
+from streamwatch.streaming.previous_window import previous_window_job, read_judged
 from streamwatch.streaming.sinks import await_queries, read_report, to_files, to_reports
 
 EVENT = {"ts_col": "ts", "value_col": "value"}
@@ -90,7 +93,7 @@ def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All events as one batch, since the files of a table are in no order of time."""
+    """All events as one batch, since the files of a table are in no order of time; :func:`in_two_runs` has many batches."""
     schema = table(spark, sf_dir, "events").schema
     # as a pattern, the path may be a single file or a folder of files
     return _labelled(stream_files(spark, f"{sf_dir}/events.parque[t]", schema))
@@ -468,11 +471,24 @@ def stream_zscore(spark, sf_dir):
 
 
 def stream_iqr(spark, sf_dir):
-    judged = iqr_anomalies(
-        event_stream(spark, sf_dir), **EVENT, window=DAY, delay=DELAY
+    """Approximate quartiles by their ranks among the events of their window, and every flag by the range that was reported with it."""
+    judged = iqr_anomalies(event_stream(spark, sf_dir), **EVENT, window=DAY, delay=DELAY)
+    found = _drained(spark, judged, "iqr")
+    outside = (F.col("value") < F.col("lower_bound")) | (F.col("value") > F.col("upper_bound"))
+    reach = F.abs(F.col("lower_bound") - (2.5 * F.col("q1") - 1.5 * F.col("q3"))) + F.abs(F.col("upper_bound") - (2.5 * F.col("q3") - 1.5 * F.col("q1")))
+    checked = found.groupBy("window_start").agg(
+        F.count("*").alias("events"),
+        *(_near_rank(F.col("value"), F.col(name), q).alias(f"{name}_within") for name, q in (("q1", 0.25), ("q3", 0.75))),
+        (F.count_if(~F.col("is_anomaly").eqNullSafe(outside)) == 0).alias("flags_right"),
+        (F.max(reach) < 1e-9).alias("bounds_right"),
     )
-    columns = ("event_id", "ts", "value", "window_start", *BOUNDS, "is_anomaly")
-    return shown(_drained(spark, flagged_only(judged), "iqr"), *columns)
+    return shown(checked)
+
+
+def _near_rank(value, found, q: float):
+    """Whether a percentile lies within its error among all values, as an aggregate."""
+    error = 1.5 / ACCURACY
+    return (F.avg((value < found).cast("int")) <= q + error) & (F.avg((value <= found).cast("int")) >= q - error)
 
 
 def stream_scores(spark, sf_dir):
@@ -483,37 +499,86 @@ def stream_scores(spark, sf_dir):
     )
 
 
-def stream_monitor(spark, sf_dir):
-    """The update-mode report: the newest state of every window, open ones too."""
-    report = monitoring_report(
-        scored(event_stream(spark, sf_dir)), **(REPORT | {"accuracy": ACCURACY}), delay=DELAY
-    )
-    folder = fresh_folder(spark, "monitor")
-    query = to_reports(report, f"{folder}/out", f"{folder}/state", drain=True)
-    await_queries([query])
-    parts = [
-        read_report(spark, f"{folder}/out", name)
-        for name in ("data", "label", "prediction", "performance")
-    ]
+def _monitored(spark, sf_dir, folder):
+    """The newest state of all windows, percentiles by their ranks among the events of the table."""
+    parts = [read_report(spark, f"{folder}/out", name) for name in ("data", "label", "prediction", "performance")]
     joined = parts[0]
     for part in parts[1:]:
         joined = joined.join(part, list(WINDOW))
-    return shown(joined.drop("invalid_count"))
+    cuts = {"median_amount": ("value", 0.5), "p95_amount": ("value", 0.95), "p99_amount": ("value", 0.99), "median_fraud_prob": ("fraud_probability", 0.5), "p95_fraud_prob": ("fraud_probability", 0.95)}
+    source = scored(events(spark, sf_dir))
+    source = source.select(F.window(event_time(source, "ts"), DAY)["start"].alias("window_start"), "value", "fraud_probability")
+    ranked = source.join(joined.select("window_start", *cuts), "window_start").groupBy("window_start")
+    ranked = ranked.agg(*(_near_rank(F.col(column), F.col(name), q).alias(f"{name}_within") for name, (column, q) in cuts.items()))
+    return shown(joined.drop("invalid_count", *cuts).join(ranked, "window_start"))
 
 
-# --- whole jobs ---------------------------------------------------------------
+def stream_monitor(spark, sf_dir):
+    """The update-mode report: the newest state of every window, open ones too."""
+    report = monitoring_report(scored(event_stream(spark, sf_dir)), **(REPORT | {"accuracy": ACCURACY}), delay=DELAY)
+    folder = fresh_folder(spark, "monitor")
+    await_queries([to_reports(report, f"{folder}/out", f"{folder}/state", drain=True)])
+    return _monitored(spark, sf_dir, folder)
 
 
-def _message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events as JSON messages of the transaction schema, labels as doubles."""
-    source = events(spark, sf_dir).select(
-        F.col("ts").alias("timestamp"),
-        F.col("value").alias("Amount"),
-        F.col("label").cast("double").alias("Class"),
-    )
-    folder = fresh_folder(spark, "messages")
-    encode_events(source).write.text(folder)
-    return stream_files(spark, folder, T.StructType([T.StructField("value", T.StringType())]), fmt="text")
+SLICES = 6
+
+
+def in_two_runs(spark: SparkSession, source: DataFrame, start: Callable[[DataFrame], object], numbers: range = range(SLICES)) -> None:
+    """Feed a table's slices to a stream, a slice a batch: half of them, then the query is stopped and started again with another number of
+    shuffle partitions for the other half. ``start`` takes the stream and starts the query on it."""
+    folder, kind = fresh_folder(spark, "slices"), "spark.sql.shuffle.partitions"
+    source.write.parquet(f"{folder}/staged")
+    staged = spark.read.parquet(f"{folder}/staged")
+    before = spark.conf.get(kind)
+    half = len(numbers) // 2
+    try:
+        for run, own in enumerate((numbers[:half], numbers[half:])):
+            publish_slices(staged, f"{folder}/in", own)
+            spark.conf.set(kind, str(int(before) + 3 * run))
+            stream = stream_files(spark, f"{folder}/in", staged.drop(SLICE).schema, max_files=1)
+            await_queries([start(stream)])
+    finally:
+        spark.conf.set(kind, before)
+
+
+def stream_zscore_batches(spark, sf_dir):
+    """As ``stream_zscore``, over six batches in the order of time, with a restart on other partitions."""
+    folder = fresh_folder(spark, "zscore-batches")
+
+    def start(stream: DataFrame):
+        judged = zscore_anomalies(_labelled(stream), **EVENT, window=DAY, delay=DELAY)
+        return to_files(judged, f"{folder}/out", f"{folder}/state", drain=True)
+
+    in_two_runs(spark, sliced_by_time(table(spark, sf_dir, "events"), "ts", SLICES), start)
+    return shown(spark.read.parquet(f"{folder}/out"), "event_id", "ts", "value", "window_start", *ZSCORE)
+
+
+def stream_monitor_batches(spark, sf_dir):
+    """As ``stream_monitor``, over six batches in the order of time, with a restart on other partitions and a merge of the report's folders."""
+    folder = fresh_folder(spark, "monitor-batches")
+
+    def start(stream: DataFrame):
+        report = monitoring_report(scored(_labelled(stream)), **(REPORT | {"accuracy": ACCURACY}), delay=DELAY)
+        return to_reports(report, f"{folder}/out", f"{folder}/state", compact_every=4, drain=True)
+
+    in_two_runs(spark, sliced_by_time(table(spark, sf_dir, "events"), "ts", SLICES), start)
+    return _monitored(spark, sf_dir, folder)
+
+
+def stream_previous_window(spark, sf_dir):
+    """Every event against the day before its own, in the batch that brings it."""
+    folder = fresh_folder(spark, "previous-window")
+
+    def start(stream: DataFrame):
+        return previous_window_job(stream, f"{folder}/out", f"{folder}/state", **EVENT, window=DAY, merge_every=4, drain=True)
+
+    in_two_runs(spark, sliced_by_time(table(spark, sf_dir, "events"), "ts", SLICES), start)
+    judged = read_judged(spark, f"{folder}/out")
+    return shown(judged, "event_id", "value", "previous_avg", "previous_stddev", "z_score", "is_anomaly")
+
+
+# --- whole jobs ---------------------------------------------------------------
 
 
 def _whole_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -530,8 +595,10 @@ def _whole_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     folder = fresh_folder(spark, "messages")
     encode_events(source, key_col="event_id").write.json(folder)
-    wire = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.StringType())])
-    return stream_files(spark, folder, wire, fmt="json")
+    return stream_files(spark, folder, KEYED_WIRE, fmt="json")
+
+
+KEYED_WIRE = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.StringType())])
 
 
 def job_scores(spark, sf_dir):
@@ -550,17 +617,17 @@ def job_scores(spark, sf_dir):
 
 def job_anomalies(spark, sf_dir):
     folder = fresh_folder(spark, "job-anomalies")
-    messages = _message_stream(spark, sf_dir)
+    messages = _whole_messages(spark, sf_dir)
     where = {"path": f"{folder}/out", "checkpoint": f"{folder}/state", "drain": True}
-    await_queries([anomaly_job(messages, window=DAY, **where)])
+    await_queries([anomaly_job(messages, window=DAY, keep=["key"], **where)])
     found = spark.read.parquet(f"{folder}/out")
-    found = found.withColumn("ts", event_time(found, "timestamp"))
-    return shown(found.withColumnRenamed("Amount", "value"), "ts", "value", "window_start", *ZSCORE)
+    found = found.withColumns({"ts": event_time(found, "timestamp"), "event_id": F.col("key").cast("long")})
+    return shown(found.withColumnRenamed("Amount", "value"), "event_id", "ts", "value", "window_start", *ZSCORE)
 
 
 def job_drift(spark, sf_dir):
     folder = fresh_folder(spark, "job-drift")
-    messages = _message_stream(spark, sf_dir)
+    messages = _whole_messages(spark, sf_dir)
     where = {"path": f"{folder}/out", "checkpoint": f"{folder}/state", "drain": True}
     await_queries(
         [drift_job(messages, window=DAY, data_threshold=50, baseline_rate_percent=20, **where)]
@@ -573,6 +640,78 @@ def job_drift(spark, sf_dir):
     )
 
 
+def _sent_again(spark, sf_dir):
+    """The events as keyed messages, in slices: an event a slice of five days, every seventh of them two slices later than its time. Errors lose the end
+    of their text and views their time, as in ``_damaged_messages``."""
+    source = events(spark, sf_dir)
+    lag = F.when(F.col("event_id") % 7 == 0, 2).otherwise(0)
+    day = F.floor(F.unix_micros(event_time(source, "ts")) / 86_400_000_000) - F.lit(19_723)  # days since 2024-01-01
+    slices = (F.floor(day / 5) + lag).cast("int")
+    fields = F.struct(F.when(F.col("event_type") != "view", F.col("ts")).alias("timestamp"), F.col("value").alias("Amount"), F.col("label").cast("double").alias("Class"))
+    text = F.to_json(fields, {"timestampNTZFormat": TIME_FORMAT})
+    value = F.when(F.col("event_type") == "error", F.left(text, F.length(text) - 1)).otherwise(text)
+    return source.select(slices.alias(SLICE), F.col("event_id").cast("string").alias("key"), value.alias("value"))
+
+
+def _ingested(spark, sf_dir) -> str:
+    folder = fresh_folder(spark, "ingest")
+
+    def start(stream: DataFrame):
+        return ingest_job(stream, f"{folder}/out", f"{folder}/state", window=DAY, delay=DELAY, keep=["key"], drain=True)
+
+    source = _sent_again(spark, sf_dir)
+    in_two_runs(spark, source, start, range(8))
+    return folder
+
+
+def ingest_routes(spark, sf_dir):
+    """Every message on its route: events in time, late ones, and dead letters with the reason."""
+    folder = _ingested(spark, sf_dir)
+    parts = []
+    for route in ROUTES:
+        rows = read_route(spark, f"{folder}/out", route)
+        reason = F.col("reason") if route == "dead" else F.lit(None).cast("string")
+        parts.append(rows.select(F.col("key").cast("long").alias("event_id"), F.lit(route).alias("route"), reason.alias("reason"), "batch_id"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def ingest_batch_counts(spark, sf_dir):
+    """What each batch reported of itself, in the pass that wrote it."""
+    return ingest_counts(spark, f"{_ingested(spark, sf_dir)}/out")
+
+
+def job_scores_or_dead_letters(spark, sf_dir):
+    """The scoring job behind the ingest job: a score or a dead letter for every message."""
+    folder = _ingested(spark, sf_dir)
+    logit = "SELECT *, -2 + 0.01 * Amount AS logit FROM __THIS__"
+    probability = "SELECT *, 1 / (1 + exp(-logit)) AS probability FROM __THIS__"
+    prediction = "SELECT *, CAST(probability > 0.5 AS DOUBLE) AS prediction FROM __THIS__"
+    model = PipelineModel([SQLTransformer(statement=s) for s in (logit, probability, prediction)])
+    none = F.lit(0.0)
+    for route in ("events", "late"):
+        stream = stream_route(spark, f"{folder}/out", route)
+        # the messages hold three of the fields
+        stream = stream.withColumns({name: F.coalesce(name, none) for name in FEATURE_COLUMNS if name != "Amount"})
+        where = {"path": f"{folder}/scores-{route}", "checkpoint": f"{folder}/scoring-{route}", "drain": True}
+        await_queries([scoring_job(stream, model, keep=["key"], **where)])
+    scores = spark.read.parquet(f"{folder}/scores-events", f"{folder}/scores-late").select("key", F.lit("score").alias("outcome"), "fraud_probability")
+    dead = read_route(spark, f"{folder}/out", "dead").select("key", F.lit("dead letter").alias("outcome"), F.lit(None).cast("double").alias("fraud_probability"))
+    return shown(scores.unionByName(dead).select(F.col("key").cast("long").alias("event_id"), "outcome", "fraud_probability"))
+
+
+def csv_inferred(spark, sf_dir):
+    """The events as CSV text, among them lines that are cut or too wide: types found from the values, damaged lines put aside."""
+    source = events(spark, sf_dir).drop("label")
+    path, number = fresh_folder(spark, "csv"), F.col("event_id") % 50
+    source.filter(~number.isin(1, 2)).write.option("timestampNTZFormat", TIME_FORMAT).csv(path, header=True)
+    lines = source.filter(number.isin(1, 2)).select(F.when(number == 1, F.concat("event_id", F.lit(",cut"))).otherwise(F.concat_ws(",", "event_id", F.lit(",,,,,more"))).alias("value"))
+    # a file of lines, the header first
+    spark.createDataFrame([(",".join(source.columns),)], lines.schema).union(lines).coalesce(1).write.mode("append").text(path)
+    rows, damaged = read_csv_inferred(spark, path)
+    kinds = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in rows.schema)
+    return shown(rows.withColumns({"types": F.lit(kinds), "damaged": F.lit(damaged.count())}), digits=9)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_events": parse_events,
     "message_validity": message_validity,
@@ -616,6 +755,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_iqr": stream_iqr,
     "stream_scores": stream_scores,
     "stream_monitor": stream_monitor,
+    "stream_zscore_batches": stream_zscore_batches,
+    "stream_monitor_batches": stream_monitor_batches,
+    "stream_previous_window": stream_previous_window,
+    "ingest_routes": ingest_routes,
+    "ingest_batch_counts": ingest_batch_counts,
+    "csv_inferred": csv_inferred,
+    "job_scores_or_dead_letters": job_scores_or_dead_letters,
     "job_scores": job_scores,
     "job_anomalies": job_anomalies,
     "job_drift": job_drift,

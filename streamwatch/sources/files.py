@@ -108,4 +108,6 @@ def split_csv(spark: SparkSession, path: str, schema: T.StructType) -> tuple[Dat
     """The readable rows of a CSV table with these types, and the text of its damaged rows as (record)."""
     wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     rows = spark.read.csv(path, schema=wide, header=True, enforceSchema=False, columnNameOfCorruptRecord=CORRUPT)
-    return rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT), rows.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("record"))
+    # always true: it asks for all columns, whatever is selected later, as only then every damage is seen
+    known = F.length(F.concat_ws("", *(F.col(f"`{name}`").cast("string") for name in schema.fieldNames()))) >= 0
+    return rows.filter(F.col(CORRUPT).isNull() & known).drop(CORRUPT), rows.filter(F.col(CORRUPT).isNotNull() & known).select(F.col(CORRUPT).alias("record"))

@@ -1,9 +1,10 @@
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import types as T
 
 from streamwatch.schema import TABLE_SCHEMA
 from streamwatch.session import checkpoint_root, fresh_folder
-from streamwatch.sources.files import read_csv, stream_files
+from streamwatch.sources.files import read_csv, read_csv_inferred, split_csv, stream_files
 from streamwatch.functions.messages import decode_events
 from streamwatch.sources.kafka import outgoing, publish, sink_options, source_options
 
@@ -63,3 +64,44 @@ def test_scratch_folders_lie_in_the_shared_folder(spark):
     assert checkpoint_root(spark) == root
     first, second = fresh_folder(spark, "x"), fresh_folder(spark, "x")
     assert first != second and first.startswith(f"{root}/")
+
+
+def _csv(folder, **files):
+    folder.mkdir(exist_ok=True)
+    for name, text in files.items():
+        (folder / f"{name}.csv").write_text(text)
+    return str(folder)
+
+
+def test_types_found_from_the_values(spark, tmp_path):
+    path = _csv(
+        tmp_path / "t",
+        a="i,d,b,t,s,e,m\n1,1,true,2024-01-01,x,,1\n-2,2.5e3,FALSE,2024-01-01T10:00:00,1,,2\n",
+        b="i,d,b,t,s,e,m\n3,NaN,true,2024-02-30T00:00:00,,,x\n" + "4,1.5,false,2024-01-02,y,,3\n",
+    )
+    rows, damaged = read_csv_inferred(spark, path)
+    # a day that does not exist is no time, so that column is text
+    assert [kind for _, kind in rows.dtypes] == ["bigint", "double", "boolean", "string", "string", "string", "string"]
+    assert rows.count() == 4 and damaged.count() == 0
+
+
+def test_damaged_rows_are_put_aside_and_do_not_decide_types(spark, tmp_path):
+    path = _csv(tmp_path / "t", a="i,t\n1,2024-01-01 00:00:00\nx\n2,2024-01-02 00:00:00,more\n3,2024-01-03 00:00:00\n", b="i,t\n4,2024-01-04 00:00:00\n")
+    rows, damaged = read_csv_inferred(spark, path)
+    assert rows.dtypes == [("i", "bigint"), ("t", "timestamp_ntz")]
+    assert sorted(r.i for r in rows.collect()) == [1, 3, 4] and sorted(r.i for r in rows.select("i").collect()) == [1, 3, 4]
+    assert sorted(r.record for r in damaged.collect()) == ["2,2024-01-02 00:00:00,more", "x"] and damaged.count() == 2
+
+
+def test_values_that_a_declared_type_cannot_hold(spark, tmp_path):
+    path = _csv(tmp_path / "t", a="i,d\n1,2.5\nx,1\n3,\n")
+    rows, damaged = split_csv(spark, path, T.StructType([T.StructField("i", T.LongType()), T.StructField("d", T.DoubleType())]))
+    assert sorted((r.i, r.d) for r in rows.fillna(0.0).collect()) == [(1, 2.5), (3, 0.0)] and [r.record for r in damaged.collect()] == ["x,1"]
+
+
+def test_missing_and_empty_files(spark, tmp_path):
+    assert read_csv_inferred(spark, str(tmp_path / "none"), missing_ok=True) is None
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        read_csv_inferred(spark, str(tmp_path / "none"))
+    rows, damaged = read_csv_inferred(spark, _csv(tmp_path / "t", a="i,t\n"))
+    assert rows.dtypes == [("i", "string"), ("t", "string")] and rows.count() == damaged.count() == 0
