@@ -7,11 +7,12 @@ for no further word is the prefix's total. Stripes of one prefix are merged elem
 * prefix totals: the entry ``b`` counts the phrase ``a b``, the first part of ``a b c``; the entry for nothing counts ``a``,
 * subsumption maxima: the largest entry among the extensions of a phrase on either side.
 
-A task counts a block of words at a time, in arrays, and sends one partial stripe for each prefix of the block. These are shuffled by prefix,
-sorted, and merged one after another as they come, so a task holds the distinct entries of one stripe, not what all tasks sent for it.
-Words that hold more than 1/4096 of a task's words may have long stripes. These are split into parts by their entries' hash,
-in proportion to the word's share, so no part expects more than 1/4096 of all. The list of such words has at most
-a few thousand rows; it decides only how work is dealt out, not the result.
+A task counts a block of words at a time, in arrays, and sends its partial stripes in rows, one for each language and bucket; the bucket of a stripe
+follows from its prefix. The rows of a bucket are merged one after another as they come, so a task holds the distinct entries of one bucket, not what all tasks
+sent for it. Buckets grow in number with the words of the corpus, not in size.
+Words that hold more than 1/4096 of all may have long stripes. These are split into parts by their entries' hash, in proportion
+to the word's share, and the parts go to several buckets. The list of such words has fewer than 4,096 rows; it decides only how work is dealt out, not the
+result.
 
 Rules: words are runs of other than space and tab, with A-Z in lower case, in pieces between ``.,;:!?`` and line breaks. Overlapping
 occurrences all count; a phrase does not cross a piece. Everything is per language; a null language is ``und``, and so are texts that say
@@ -33,9 +34,11 @@ from pyspark.sql import functions as F
 from .common import HOT_SHARE, as_texts, attached, shuffle_partitions, stored, text_bytes
 
 #: Bytes of text that a task counts at once.
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 3 << 20
 #: Entries that a task merges at once.
-MERGE_ENTRIES = 1 << 20
+MERGE_ENTRIES = 1 << 18
+#: Words of the corpus for each bucket that stripes are dealt into: the more words, the more buckets.
+BUCKET_WORDS = 50_000
 UNKNOWN = "und"
 SCALE = 1_000_000
 
@@ -82,52 +85,57 @@ class _Words:
         word = kind == _WORD
         starts = word.copy()
         starts[1:] &= ~word[:-1]
-        borders = ends[:-1][ends[:-1] < len(data)]
-        starts[borders] = word[borders]
+        stops = word.copy()
+        stops[:-1] &= ~word[1:]
+        borders = ends[:-1][(ends[:-1] > 0) & (ends[:-1] < len(data))]
+        starts[borders], stops[borders - 1] = word[borders], word[borders - 1]
         first = np.flatnonzero(starts)
-        packed = np.concatenate([[0], np.cumsum(word)])
-        coded = as_texts(_LOWER[data[word]], np.append(packed[first], packed[-1])).dictionary_encode()
+        lengths = np.flatnonzero(stops) + 1 - first
+        breaks = np.flatnonzero(kind == _BREAK)
+        del kind, starts, stops
+        coded = as_texts(_LOWER[data[word]], np.concatenate([[0], np.cumsum(lengths)])).dictionary_encode()
         self.vocabulary = coded.dictionary
         self.code = coded.indices.to_numpy().astype(np.int64)
         text = np.searchsorted(ends, first, side="right")
-        piece = np.cumsum(kind == _BREAK)[first]
+        piece = np.searchsorted(breaks, first)
         self.language = owner[text]
         self.same = np.zeros(len(first), bool)
         self.same[:-1] = (piece[1:] == piece[:-1]) & (text[1:] == text[:-1])
 
 
-def _stripes(words: _Words, longest: int) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
-    """Entries of the stripes of a block: language, code of the prefix, what follows (words, space-joined) and count."""
+def _stripes(words: _Words, longest: int) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray, np.ndarray]:
+    """Entries of the stripes of a block: language, code of the prefix, what follows (words, space-joined), count, and a hash of what
+    follows that is the same in every block."""
+    import xxhash
+
     size = max(len(words.vocabulary), 1)
-    group = words.language * size + words.code
-    heads, inverse, count = np.unique(group, return_inverse=True, return_counts=True)
-    owner, tails, counts = [heads], [pa.array([""] * len(heads), pa.string())], [count]
-    at, rank = np.arange(len(words.code)), inverse
-    texts: pa.Array | None = None
+    known = np.array([xxhash.xxh32_intdigest(word) for word in words.vocabulary.to_pylist()], np.uint32)
+    heads, rank, count = np.unique(words.language * size + words.code, return_inverse=True, return_counts=True)
+    owner, tails, counts, hashes = [heads], [pa.array([""] * len(heads), pa.string())], [count], [np.zeros(len(heads), np.uint32)]
+    at = np.arange(len(words.code))
     for step in range(1, longest):
         # occurrences that go on for one word more
         further = words.same[at + step - 1]
         at, rank = at[further], rank[further]
         found, rank, count = np.unique(rank * size + words.code[at + step], return_inverse=True, return_counts=True)
-        before, last = found // size, words.vocabulary.take(pa.array(found % size))
-        texts = last if texts is None else pc.binary_join_element_wise(texts.take(pa.array(before)), last, " ")
+        before, last = found // size, found % size
+        text = words.vocabulary.take(pa.array(last))
+        tails.append(text if step == 1 else pc.binary_join_element_wise(tails[-1].take(pa.array(before)), text, " "))
         owner.append(owner[-1][before])
-        tails.append(texts)
         counts.append(count)
+        hashes.append(hashes[-1][before] * np.uint32(0x9E3779B1) + known[last])
     owners = np.concatenate(owner)
-    return owners // size, owners % size, pa.concat_arrays(tails), np.concatenate(counts)
+    return owners // size, owners % size, pa.concat_arrays(tails), np.concatenate(counts), np.concatenate(hashes)
 
 
-def _parts(tails: pa.Array, of: np.ndarray) -> np.ndarray:
-    """Part of each entry of a stripe with ``of`` parts; an entry has the same part in every task."""
-    import xxhash
+def _mixed(hashes: np.ndarray) -> np.ndarray:
+    mixed = (hashes ^ (hashes >> np.uint32(15))) * np.uint32(0x85EBCA6B)
+    return ((mixed ^ (mixed >> np.uint32(13))) * np.uint32(0xC2B2AE35)) >> np.uint32(4)
 
-    part = np.zeros(len(of), np.int32)
-    split = np.flatnonzero(of > 1)
-    if len(split):
-        own = tails.take(pa.array(split)).to_pylist()
-        part[split] = np.array([xxhash.xxh32_intdigest(tail) for tail in own], np.int64) % of[split]
-    return part
+
+def _parts(hashes: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Part of each entry of a stripe with ``of`` parts; an entry has the same part in every task."""
+    return (_mixed(hashes).astype(np.int64) % of).astype(np.uint32)
 
 
 def _languages(column: pa.Array) -> tuple[np.ndarray, list[str]]:
@@ -163,59 +171,82 @@ def frequent_words(rows: DataFrame) -> tuple[dict[str, dict[str, int]], DataFram
     return often, counted.filter("word = ''").select("lang", "n"), total
 
 
-def _partial(rows: DataFrame, longest: int, often: dict[str, dict[str, int]]) -> DataFrame:
-    """lang, prefix, part, tails (line-separated), counts: a stripe, or a part of one, for each prefix of each block."""
+def _partial(rows: DataFrame, longest: int, often: dict[str, dict[str, int]], buckets: int) -> DataFrame:
+    """lang, bucket, and the stripes of a block that belong there: prefixes, the number of entries of each, the entries and their counts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
         for batch in batches:
             codes, names = _languages(batch.column(0))
             data, offsets = text_bytes(batch.column(1))
+            of_lang = np.array([xxhash.xxh32_intdigest(name) for name in names], np.uint32)
             for block in _blocks(data, offsets, codes):
                 words = _Words(*block)
                 if not len(words.code):
                     continue
-                lang, prefix, tails, counts = _stripes(words, longest)
-                place = {word: k for k, word in enumerate(words.vocabulary.to_pylist())} if often else {}
-                parts_of = np.ones((len(names), len(words.vocabulary)), np.int32)
+                lang, prefix, tails, counts, hashes = _stripes(words, longest)
+                known = words.vocabulary.to_pylist()
+                place = {word: k for k, word in enumerate(known)} if often else {}
+                parts_of = np.ones((len(names), len(known)), np.int32)
                 for k, name in enumerate(names):
                     for word, n in often.get(name, {}).items():
                         if word in place:
                             parts_of[k, place[word]] = n
-                piece = _parts(tails, parts_of[lang, prefix])
-                order = np.lexsort((piece, prefix, lang))
-                lang, prefix, piece, counts = lang[order], prefix[order], piece[order], counts[order]
-                first = np.flatnonzero(np.concatenate([[True], (lang[1:] != lang[:-1]) | (prefix[1:] != prefix[:-1]) | (piece[1:] != piece[:-1])]))
-                borders = pa.array(np.append(first, len(order)), pa.int32())
-                entries = pc.binary_join(pa.ListArray.from_arrays(borders, tails.take(pa.array(order))), "\n")
+                own = np.array([xxhash.xxh32_intdigest(word) for word in known], np.uint32)
+                piece = _parts(hashes, parts_of[lang, prefix])
+                bucket = _mixed((of_lang[lang] * np.uint32(31) + own[prefix]) * np.uint32(0x9E3779B1) + piece).astype(np.int64) % buckets
+                order = np.lexsort((prefix, bucket, lang))
+                lang, bucket, prefix = lang[order], bucket[order], prefix[order]
+                row = np.concatenate([[True], (lang[1:] != lang[:-1]) | (bucket[1:] != bucket[:-1])])
+                stripes = np.flatnonzero(row | np.concatenate([[True], prefix[1:] != prefix[:-1]]))
+                first = np.flatnonzero(row)
+                by_stripe = pa.array(np.append(np.searchsorted(stripes, first), len(stripes)), pa.int32())
+                by_entry = pa.array(np.append(first, len(order)), pa.int32())
                 columns = [
                     pa.array(names, pa.string()).take(pa.array(lang[first])),
-                    words.vocabulary.take(pa.array(prefix[first])),
-                    pa.array(piece[first], pa.int32()),
-                    entries,
-                    pa.ListArray.from_arrays(borders, pa.array(counts, pa.int32())),
+                    pa.array(bucket[first], pa.int32()),
+                    pc.binary_join(pa.ListArray.from_arrays(by_stripe, words.vocabulary.take(pa.array(prefix[stripes]))), "\n"),
+                    pa.ListArray.from_arrays(by_stripe, pa.array(np.diff(np.append(stripes, len(order))), pa.int32())),
+                    pc.binary_join(pa.ListArray.from_arrays(by_entry, tails.take(pa.array(order))), "\n"),
+                    pa.ListArray.from_arrays(by_entry, pa.array(counts[order], pa.int32())),
                 ]
-                found = pa.RecordBatch.from_arrays(columns, ["lang", "prefix", "part", "tails", "counts"])
-                for at in range(0, found.num_rows, 10_000):
-                    yield found.slice(at, 10_000)
+                del tails, order
+                found = pa.RecordBatch.from_arrays(columns, ["lang", "bucket", "prefixes", "sizes", "tails", "counts"])
+                for at in range(0, found.num_rows, 1000):
+                    yield found.slice(at, 1000)
+        pa.default_memory_pool().release_unused()
+
+    return rows.mapInArrow(count, "lang string, bucket int, prefixes string, sizes array<int>, tails string, counts array<int>")
+
 
-    return rows.mapInArrow(count, "lang string, prefix string, part int, tails string, counts array<int>")
+def _entries(batch: pa.RecordBatch) -> pa.Table:
+    """lang, bucket, prefix, tail and n of all entries of the stripes in ``batch``."""
+    sizes, counts = batch.column(3), batch.column(5)
+    prefixes = pc.list_flatten(pc.split_pattern(batch.column(2), "\n"))
+    each = pa.array(np.repeat(np.arange(len(prefixes)), pc.list_flatten(sizes).to_numpy()))
+    of = pc.list_parent_indices(counts)
+    tails = pc.list_flatten(pc.split_pattern(batch.column(4), "\n"))
+    columns = [batch.column(0).take(of), batch.column(1).take(of), prefixes.take(each), tails, pc.list_flatten(counts).cast(pa.int64())]
+    return pa.table(columns, names=["lang", "bucket", "prefix", "tail", "n"])
 
 
-def _changes(table: pa.Table) -> np.ndarray:
-    """Whether a row has another stripe than the one before."""
-    found = np.ones(table.num_rows, bool)
-    if table.num_rows > 1:
-        same = [pc.equal(table.column(name).slice(1), table.column(name).slice(0, table.num_rows - 1)) for name in ("lang", "prefix", "part")]
-        found[1:] = ~(same[0].to_numpy() & same[1].to_numpy() & same[2].to_numpy())
-    return found
+def _buckets(rows: pa.Table) -> np.ndarray:
+    """Number of the bucket of each row; those of one bucket follow each other."""
+    change = np.ones(rows.num_rows, bool)
+    if rows.num_rows > 1:
+        same = [pc.equal(rows.column(name).slice(1), rows.column(name).slice(0, rows.num_rows - 1)).to_numpy() for name in ("lang", "bucket")]
+        change[1:] = ~(same[0] & same[1])
+    return np.cumsum(change) - 1
 
 
 def _merged(rows: pa.Table) -> pa.Table:
-    """Sorted rows (lang, prefix, part, tail, n), those of one stripe and tail added up."""
+    """Entries of one bucket, prefix and tail added up; buckets keep their order."""
     rows = rows.combine_chunks()
-    stripe = np.cumsum(_changes(rows)) - 1
-    coded = rows.column("tail").chunk(0).dictionary_encode()
-    key = stripe * max(len(coded.dictionary), 1) + coded.indices.to_numpy().astype(np.int64)
+    key = _buckets(rows)
+    for name in ("prefix", "tail"):
+        coded = rows.column(name).chunk(0).dictionary_encode()
+        key = key * len(coded.dictionary) + coded.indices.to_numpy()
     _, first, inverse = np.unique(key, return_index=True, return_inverse=True)
     n = np.zeros(len(first), np.int64)
     np.add.at(n, inverse, rows.column("n").to_numpy())
@@ -224,7 +255,6 @@ def _merged(rows: pa.Table) -> pa.Table:
 
 def merged_stripes(partial: DataFrame, least: int) -> DataFrame:
     """lang, prefix, tail, n: entries of the merged stripes that count ``least`` or more."""
-    names = ["lang", "prefix", "part", "tail", "n"]
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[pa.Table] = []
@@ -235,25 +265,22 @@ def merged_stripes(partial: DataFrame, least: int) -> DataFrame:
             yield from rows.to_batches()
 
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            tails, counts = pc.split_pattern(batch.column(3), "\n"), batch.column(4)
-            of = pc.list_parent_indices(counts)
-            columns = [batch.column(k).take(of) for k in range(3)] + [pc.list_flatten(tails), pc.list_flatten(counts).cast(pa.int64())]
-            waiting.append(pa.table(columns, names=names))
-            size += len(of)
-            if size >= MERGE_ENTRIES:
-                rows = _merged(pa.concat_tables(waiting))
-                # more of the last stripe may come
-                last = int(np.flatnonzero(_changes(rows))[-1])
-                yield from told(rows.slice(0, last))
-                waiting = [rows.slice(last)]
-                # entries that are already merged do not count towards the next merge
-                size = 0
+            for at in range(0, batch.num_rows, 100):
+                waiting.append(_entries(batch.slice(at, 100)))
+                size += waiting[-1].num_rows
+                if size >= MERGE_ENTRIES:
+                    rows = _merged(pa.concat_tables(waiting))
+                    # more of the last bucket may come
+                    number = _buckets(rows)
+                    last = int(np.searchsorted(number, number[-1]))
+                    yield from told(rows.slice(0, last))
+                    # entries that are already merged do not count towards the next merge
+                    waiting, size = [rows.slice(last)], 0
         if waiting:
             yield from told(_merged(pa.concat_tables(waiting)))
+        pa.default_memory_pool().release_unused()
 
-    dealt = partial.repartition("lang", "prefix", "part").sortWithinPartitions("lang", "prefix", "part")
+    dealt = partial.repartition("lang", "bucket").sortWithinPartitions("lang", "bucket")
     return dealt.mapInArrow(merge, "lang string, prefix string, tail string, n long")
 
 
@@ -269,7 +296,7 @@ def mine_phrases(docs: DataFrame, *, text_col: str = "text", lang_col: str = "la
     its occurrences is left out. The ``top`` of each language."""
     rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     often, sizes, total = frequent_words(rows)
-    found = merged_stripes(_partial(rows, longest, often), least)
+    found = merged_stripes(_partial(rows, longest, often, 1 + total // BUCKET_WORDS), least)
     phrase = F.when(F.col("tail") == "", F.col("prefix")).otherwise(F.concat_ws(" ", "prefix", "tail"))
     found = stored(found.select("lang", phrase.alias("phrase"), F.col("n").alias("f")), "phrases")
 

@@ -2,7 +2,6 @@ import random
 import re
 from collections import Counter
 
-import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -79,28 +78,33 @@ def test_parameters(spark, options):
     assert _rows(collocations.mine_phrases(_docs(spark, rows), **options)) == plain_phrases(rows, **options)
 
 
-def test_blocks_parts_and_merges(spark, monkeypatch):
-    """Small blocks cut texts; most words are frequent and have stripes in parts; stripes are merged a few entries at a time."""
+class _Locally:
+    """Runs the functions of mapInArrow here, since settings of the driver do not reach Python workers."""
+
+    def __init__(self, batches):
+        self.batches = batches
+
+    def mapInArrow(self, function, schema):  # noqa: N802
+        return _Locally(list(function(iter(self.batches))))
+
+    def repartition(self, *keys):
+        return self
+
+    def sortWithinPartitions(self, *keys):  # noqa: N802
+        rows = pa.Table.from_batches(self.batches).sort_by([(key, "ascending") for key in keys])
+        return _Locally(rows.to_batches(max_chunksize=7))
+
+
+@pytest.mark.parametrize("buckets", [1, 5, 1000])
+def test_blocks_parts_and_merges(monkeypatch, buckets):
+    """Small blocks cut texts; frequent words have stripes in parts; stripes are merged a few entries at a time."""
     monkeypatch.setattr(collocations, "BLOCK_BYTES", 50)
     monkeypatch.setattr(collocations, "MERGE_ENTRIES", 5)
-    monkeypatch.setattr(collocations, "HOT_SHARE", 1 / 60)
     rows = _corpus(seed=9, n=40)
-    docs = _docs(spark, rows).select(F.col("lang"), F.col("text"))
-    often, sizes, total = collocations.frequent_words(docs)
-    assert total == sum(row[0] for row in sizes.groupBy("lang").agg(F.max("n")).select("max(n)").collect())
-    # settings of the driver do not reach Python workers, so the functions are called here
-    batch = pa.record_batch([pa.array([lang for lang, _ in rows]), pa.array([text for _, text in rows])], ["lang", "text"])
-    codes, names = collocations._languages(batch.column(0))
-    data, offsets = collocations.text_bytes(batch.column(1))
-    tables = []
-    for block in collocations._blocks(data, offsets, codes):
-        words = collocations._Words(*block)
-        if len(words.code):
-            lang, prefix, tails, counts = collocations._stripes(words, 3)
-            of = np.full(len(lang), 3, np.int32)
-            columns = [pa.array(names, pa.string()).take(pa.array(lang)), words.vocabulary.take(pa.array(prefix)), pa.array(collocations._parts(tails, of)), tails, pa.array(counts, pa.int64())]
-            tables.append(pa.table(columns, names=["lang", "prefix", "part", "tail", "n"]))
-    merged = collocations._merged(pa.concat_tables(tables).sort_by([("lang", "ascending"), ("prefix", "ascending"), ("part", "ascending")])).to_pylist()
+    batches = [pa.record_batch([pa.array([lang for lang, _ in own], pa.string()), pa.array([text for _, text in own])], ["lang", "text"]) for own in (rows[:20], rows[20:])]
+    often = {"en": {"the": 4, "of": 2}, "und": {"the": 3}}
+    merged = collocations.merged_stripes(collocations._partial(_Locally(batches), 3, often, buckets), 1).batches
+    merged = [row for batch in merged for row in batch.to_pylist()]
     found = {(row["lang"], row["prefix"], row["tail"]): row["n"] for row in merged}
     assert len(found) == len(merged)
     expected = Counter()
@@ -112,6 +116,12 @@ def test_blocks_parts_and_merges(spark, monkeypatch):
     assert found == expected
 
 
+def test_words_of_all_languages_are_counted(spark):
+    rows = _corpus(seed=9, n=40)
+    often, sizes, total = collocations.frequent_words(_docs(spark, rows).select("lang", "text"))
+    assert total == sum(row.n for row in sizes.collect()) and "the" in often["en"]
+
+
 def test_frequent_words_change_nothing(spark, monkeypatch):
     rows = _corpus(seed=3)
     monkeypatch.setattr(collocations, "frequent_words", lambda found, whole=collocations.frequent_words: ({}, *whole(found)[1:]))
