@@ -1,9 +1,12 @@
 import random
+import zlib
 
 import numpy as np
 from pyspark.sql import functions as F
 
+from streamwatch.llm import queries
 from streamwatch.llm.quality_model import Settings, fit_quality_model, score_quality, word_vectors
+from tests.conftest import TESTDATA
 
 from .conftest import ODD
 
@@ -60,3 +63,26 @@ def test_odd_and_no_documents(spark, odd, no_docs):
     trained = fit_quality_model(odd, labels, settings=SMALL)
     assert all(0 <= row.score <= 1 for row in score_quality(odd, trained).collect())
     assert score_quality(no_docs, fit_quality_model(no_docs, labels, settings=SMALL)).count() == 0
+
+
+def test_query_learns_from_its_folds_only(spark, tmp_path):
+    """Labels of the held-out fold, the language and the source change no score; columns are as stated."""
+    docs = spark.read.parquet(f"{TESTDATA}/documents.parquet")
+    labels = spark.read.parquet(f"{TESTDATA}/labels.parquet")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    found = []
+    for name, changed in (("a", False), ("b", True)):
+        folder = str(tmp_path / name)
+        (docs.withColumns({"lang": F.lit("x"), "source": F.lit(None).cast("string")}) if changed else docs).write.parquet(folder + "/documents.parquet")
+        quality = F.when(held_out, 1 - F.col("quality")).otherwise(F.col("quality")) if changed else F.col("quality")
+        labels.withColumn("quality", quality).write.parquet(folder + "/labels.parquet")
+        result = queries.op3_quality_classifier(spark, folder)
+        assert dict(result.dtypes) == {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"}
+        found.append({row.doc_id: row for row in result.collect()})
+    assert len(found[0]) == docs.count() and found[0].keys() == found[1].keys()
+    for doc, row in found[0].items():
+        assert row.held_out == (zlib.crc32(str(doc).encode()) % 3 == 1) and row.predicted == int(row.score >= 0.5) and 0 <= row.score <= 1
+        assert abs(row.score - found[1][doc].score) < 1e-9
+    known = [(found[0][row.doc_id].score, row.quality) for row in labels.filter(held_out & F.col("quality").isNotNull()).collect()]
+    good, bad = ([score for score, label in known if label == own] for own in (1, 0))
+    assert sum((g > b) + 0.5 * (g == b) for g in good for b in bad) >= 0.8 * len(good) * len(bad)
