@@ -709,7 +709,7 @@ def csv_inferred(spark, sf_dir):
     spark.createDataFrame([(",".join(source.columns),)], lines.schema).union(lines).coalesce(1).write.mode("append").text(path)
     rows, damaged = read_csv_inferred(spark, path)
     kinds = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in rows.schema)
-    return shown(rows.withColumns({"types": F.lit(kinds), "damaged": F.lit(damaged.count())}), digits=9)
+    return shown(rows.withColumns({"types": F.lit(kinds), "damaged": F.lit(damaged.count()).cast("long")}), digits=9)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
