@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
@@ -55,6 +56,27 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+#: Scratch folders that this process has named, in order.
+_SCRATCH: list[str] = []
+
+
 def fresh_folder(spark: SparkSession, purpose: str) -> str:
     """A path under the shared folder that nothing else uses."""
-    return f"{checkpoint_root(spark).rstrip('/')}/streamwatch-{purpose}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_root(spark).rstrip('/')}/streamwatch-{purpose}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
+def scratch_mark() -> int:
+    """A mark for :func:`remove_scratch`: folders named from here on are newer."""
+    return len(_SCRATCH)
+
+
+def remove_scratch(spark: SparkSession, since: int = 0, keep: Sequence[str] = ()) -> None:
+    """Delete the scratch folders of this process that are newer than a mark, but for ``keep``. Results that were not
+    written yet may need them, so this is for the end of a job, or of a stage whose result is a table."""
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    for path in [path for path in _SCRATCH[since:] if path not in keep]:
+        at = path_of(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        _SCRATCH.remove(path)

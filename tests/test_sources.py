@@ -3,7 +3,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import types as T
 
 from streamwatch.schema import TABLE_SCHEMA
-from streamwatch.session import checkpoint_root, fresh_folder
+from streamwatch.session import checkpoint_root, fresh_folder, remove_scratch, scratch_mark
 from streamwatch.sources.files import read_csv, read_csv_inferred, split_csv, stream_files
 from streamwatch.functions.messages import decode_events
 from streamwatch.sources.kafka import outgoing, publish, sink_options, source_options
@@ -105,3 +105,15 @@ def test_missing_and_empty_files(spark, tmp_path):
         read_csv_inferred(spark, str(tmp_path / "none"))
     rows, damaged = read_csv_inferred(spark, _csv(tmp_path / "t", a="i,t\n"))
     assert rows.dtypes == [("i", "string"), ("t", "string")] and rows.count() == damaged.count() == 0
+
+
+def test_scratch_folders_go_when_asked(spark):
+    old = fresh_folder(spark, "old")
+    mark = scratch_mark()
+    gone, kept = fresh_folder(spark, "gone"), fresh_folder(spark, "kept")
+    for path in (old, gone, kept):
+        spark.range(3).write.parquet(path)
+    remove_scratch(spark, mark, [kept])
+    assert spark.read.parquet(old).count() == spark.read.parquet(kept).count() == 3
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        spark.read.parquet(gone)
