@@ -10,13 +10,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from streamwatch.llm.common import stored, table
+from streamwatch.llm.common import table
 from streamwatch.llm.decontamination import drop_contaminated
 from streamwatch.llm.near_dedup import drop_near_duplicates
 from streamwatch.llm.packing import pack_documents
 from streamwatch.llm.quality_rules import apply_quality_rules, fit_target_ratio
 from streamwatch.llm.queries import tokenizer_path, trusted_documents
 from streamwatch.llm.secret_scan import redact_secrets
+from streamwatch.session import fresh_folder, remove_scratch, scratch_mark
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +52,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, mark = table(spark, sf_dir, "documents"), scratch_mark()
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+        rows, path = stage(spark, docs, sf_dir), fresh_folder(spark, f"stage-{name}")
+        rows.write.parquet(path)
+        docs = spark.read.schema(rows.schema).parquet(path)
+        # what the stage and those before it had stored is not needed any more
+        remove_scratch(spark, mark, [path])
     return docs
