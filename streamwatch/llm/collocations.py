@@ -9,7 +9,7 @@ for no further word is the prefix's total. Stripes of one prefix are merged elem
 
 A task counts a block of words at a time, in arrays, and sends its partial stripes in rows, one for each language and bucket; the bucket of a stripe
 follows from its prefix. The rows of a bucket are merged one after another as they come, so a task holds the distinct entries of one bucket, not what all tasks
-sent for it. Buckets grow in number with the words of the corpus, not in size.
+sent for it. With the words of the corpus buckets grow in number, not in size.
 Words that hold more than 1/4096 of all may have long stripes. These are split into parts by their entries' hash, in proportion
 to the word's share, and the parts go to several buckets. The list of such words has fewer than 4,096 rows; it decides only how work is dealt out, not the
 result.
@@ -31,14 +31,18 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import HOT_SHARE, as_texts, attached, shuffle_partitions, stored, text_bytes
+from .common import HOT_SHARE, as_texts, attached, stored, text_bytes
 
 #: Bytes of text that a task counts at once.
 BLOCK_BYTES = 3 << 20
 #: Entries that a task merges at once.
 MERGE_ENTRIES = 1 << 18
-#: Words of the corpus for each bucket that stripes are dealt into: the more words, the more buckets.
-BUCKET_WORDS = 50_000
+#: Buckets that stripes are dealt into: so many, or one for each so many words of a corpus that is larger. A block sends a row for each of them at
+#: most, and never more than it has stripes.
+LEAST_BUCKETS = 16_384
+BUCKET_WORDS = 500_000
+#: Shares of a language that are ranked by themselves, step by step.
+SHARES = (4096, 64, 1)
 UNKNOWN = "und"
 SCALE = 1_000_000
 
@@ -296,7 +300,7 @@ def mine_phrases(docs: DataFrame, *, text_col: str = "text", lang_col: str = "la
     its occurrences is left out. The ``top`` of each language."""
     rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     often, sizes, total = frequent_words(rows)
-    found = merged_stripes(_partial(rows, longest, often, 1 + total // BUCKET_WORDS), least)
+    found = merged_stripes(_partial(rows, longest, often, max(LEAST_BUCKETS, total // BUCKET_WORDS)), least)
     phrase = F.when(F.col("tail") == "", F.col("prefix")).otherwise(F.concat_ws(" ", "prefix", "tail"))
     found = stored(found.select("lang", phrase.alias("phrase"), F.col("n").alias("f")), "phrases")
 
@@ -321,9 +325,9 @@ def mine_phrases(docs: DataFrame, *, text_col: str = "text", lang_col: str = "la
     weakest = F.min(F.struct(score.cast("long").alias("score"), "k", "l", "r")).alias("cut")
     scored = cuts.groupBy("lang", "phrase", "a").agg(weakest).select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score")
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    # the best of each share of a language first, so that no task orders a whole one
-    shares = F.pmod(F.xxhash64("phrase"), F.lit(shuffle_partitions(docs.sparkSession)))
-    for group in (["lang", "share"], ["lang"]):
-        rank = F.row_number().over(Window.partitionBy(*group).orderBy(*order)).cast("long")
-        scored = scored.withColumn("share", shares).withColumn("rank", rank).filter(F.col("rank") <= top)
+    # the best of each share of a language first, in fixed numbers of shares, so that no task orders more than the best of 64 others
+    for shares in SHARES:
+        share = F.pmod(F.xxhash64("phrase"), F.lit(shares))
+        rank = F.row_number().over(Window.partitionBy("lang", "share").orderBy(*order)).cast("long")
+        scored = scored.withColumn("share", share).withColumn("rank", rank).filter(F.col("rank") <= top)
     return scored.join(sizes, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
