@@ -74,11 +74,3 @@ def any_of(conditions: list[Column]) -> Column:
 def z_score(value: Column, mean: Column, deviation: Column) -> Column:
     """Distance from the mean in deviations; 0 where the deviation is 0 or unknown."""
     return F.when(deviation > 0, F.abs((value - mean) / deviation)).otherwise(F.lit(0.0))
-
-
-def uniform(*columns: Column | str) -> Column:
-    """A number in [0, 1) that depends on the given columns only.
-
-    Unlike ``rand`` it gives a retried task the same value again.
-    """
-    return F.xxhash64(*columns) / F.lit(2.0**64) + F.lit(0.5)

@@ -3,7 +3,6 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from streamwatch.operators import window_stats
 from streamwatch.operators.drift import (
     REPORT_COLUMNS,
     baseline_drift_alerts,
