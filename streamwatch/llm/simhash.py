@@ -34,13 +34,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import HOT_SHARE, attached, groups_of, stored, text_bytes
+from .common import HOT_SHARE, attached, stored, text_bytes
 from .near_dedup import components
 
 SEED = 42
 RADIUS = 2
 SEGMENT_BITS = 32
-BLOCK_BYTES = 4 << 20
 #: Shingles whose bits are counted at once.
 BLOCK_SHINGLES = 1 << 17
 
