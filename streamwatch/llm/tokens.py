@@ -28,8 +28,8 @@ import pyarrow as pa
 from .common import as_texts, groups_of, text_bytes
 
 #: Bytes of text that are cut at once, and distinct units kept in memory by a worker.
-BLOCK_BYTES = 2 << 20
-KEPT_UNITS = 200_000
+BLOCK_BYTES = 4 << 20
+KEPT_UNITS = 300_000
 
 _SPACE, _LETTER, _DIGIT, _SIGN, _OTHER = range(5)
 _KIND = np.full(256, _OTHER, np.uint8)
@@ -142,12 +142,14 @@ class TextEncoder:
         """Ids of the units from ``starts`` on, and how many each unit has."""
         coded = as_texts(data, np.append(starts, len(data))).dictionary_encode()
         slots = self._slots_of(coded.dictionary.to_numpy(zero_copy_only=False).tolist())[coded.indices.to_numpy()]
-        unit_ends = np.array(self.ends)
+        # views, not copies; they are gone before the arrays grow again
+        unit_ends = np.frombuffer(self.ends, np.int64)
         count = np.diff(unit_ends)[slots]
         ends = np.cumsum(count)
         total = int(ends[-1]) if len(ends) else 0
         place = np.repeat(unit_ends[slots] - (ends - count), count) + np.arange(total)
-        return np.array(self.ids, np.uint32)[place], count
+        known = np.frombuffer(self.ids, np.uint32) if len(self.ids) else np.zeros(0, np.uint32)
+        return known[place], count
 
     def encode(self, column: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text, as 32-bit unsigned numbers. Null and empty texts have none.
