@@ -53,7 +53,7 @@ from streamwatch.streaming.ingest import ROUTES, ingest_counts, ingest_job, read
 from streamwatch.streaming.jobs import anomaly_job, drift_job, scoring_job
 from streamwatch.streaming.previous_window import previous_window_job, read_judged
 from streamwatch.streaming.sinks import await_queries, read_report, to_files, to_reports
-from streamwatch.streaming.whole_windows import closed_windows_job
+from streamwatch.streaming.whole_windows import closed_windows_job, window_reports_job
 
 EVENT = {"ts_col": "ts", "value_col": "value"}
 LINE = {"ts_col": "l_shipdate", "value_col": "l_extendedprice"}
@@ -498,26 +498,36 @@ def stream_scores(spark, sf_dir):
     )
 
 
-def _monitored(spark, sf_dir, folder):
-    """The newest state of all windows, percentiles by their ranks among the events of the table."""
+def _reported(spark, folder):
+    """The newest state of all windows, the parts side by side."""
     parts = [read_report(spark, f"{folder}/out", name) for name in ("data", "label", "prediction", "performance")]
     joined = parts[0]
     for part in parts[1:]:
         joined = joined.join(part, list(WINDOW))
+    return joined.drop("invalid_count")
+
+
+def _monitored(spark, sf_dir, folder):
+    """The newest state of all windows, percentiles by their ranks among the events of the table."""
+    joined = _reported(spark, folder)
     cuts = {"median_amount": ("value", 0.5), "p95_amount": ("value", 0.95), "p99_amount": ("value", 0.99), "median_fraud_prob": ("fraud_probability", 0.5), "p95_fraud_prob": ("fraud_probability", 0.95)}
     source = scored(events(spark, sf_dir))
     source = source.select(F.window(event_time(source, "ts"), DAY)["start"].alias("window_start"), "value", "fraud_probability")
     ranked = source.join(joined.select("window_start", *cuts), "window_start").groupBy("window_start")
     ranked = ranked.agg(*(_near_rank(F.col(column), F.col(name), q).alias(f"{name}_within") for name, (column, q) in cuts.items()))
-    return shown(joined.drop("invalid_count", *cuts).join(ranked, "window_start"))
+    return shown(joined.drop(*cuts).join(ranked, "window_start"))
 
 
 def stream_monitor(spark, sf_dir):
-    """The update-mode report: the newest state of every window, open ones too."""
-    report = monitoring_report(scored(event_stream(spark, sf_dir)), **(REPORT | {"accuracy": ACCURACY}), delay=DELAY)
+    """The update-mode report: the newest state of every window, open ones too, with exact percentiles."""
     folder = fresh_folder(spark, "monitor")
-    await_queries([to_reports(report, f"{folder}/out", f"{folder}/state", drain=True)])
-    return _monitored(spark, sf_dir, folder)
+
+    def report(rows: DataFrame) -> DataFrame:
+        return monitoring_report(rows, **REPORT)
+
+    where = {"ts_col": "ts", "window": DAY, "delay": DELAY, "drain": True}
+    await_queries([window_reports_job(scored(event_stream(spark, sf_dir)), report, f"{folder}/out", f"{folder}/state", **where)])
+    return shown(_reported(spark, folder))
 
 
 SLICES = 6
@@ -554,7 +564,7 @@ def stream_zscore_batches(spark, sf_dir):
 
 
 def stream_monitor_batches(spark, sf_dir):
-    """As ``stream_monitor``, over six batches in the order of time, with a restart on other partitions and a merge of the report's folders."""
+    """As ``stream_monitor`` from one state, over six batches in the order of time, with a restart on other partitions and a merge of the report's folders."""
     folder = fresh_folder(spark, "monitor-batches")
 
     def start(stream: DataFrame):

@@ -109,7 +109,7 @@ def many(tmp_path_factory):
     return str(folder)
 
 
-@pytest.mark.parametrize("name", ["stream_iqr"])
+@pytest.mark.parametrize("name", ["stream_iqr", "stream_monitor"])
 def test_streams_give_the_events_and_percentiles_themselves(spark, many, name):
     con = connect(many)
     result = QUERIES[name](spark, many)
