@@ -27,6 +27,8 @@ from .common import stored
 RATE, PIECE, LEAST = 0.05, 20, 32
 #: Characters of test items that are searched in one pass over the documents.
 BLOCK_CHARS = 4_000_000
+#: Rows that a worker hands on at once, with their texts.
+SLICE_ROWS = 512
 RESULT = "doc_id long, item_id long, distance int, start long, end long"
 
 
@@ -163,7 +165,9 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, text_col: str =
         def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             searcher = ItemSearch(block, rate, piece, least)
             for batch in batches:
-                yield batch.filter(pa.array([not searcher.find(text.as_py()) for text in batch.column(at)], pa.bool_()))
+                for start in range(0, batch.num_rows, SLICE_ROWS):
+                    part = batch.slice(start, SLICE_ROWS)
+                    yield part.filter(pa.array([not searcher.find(text.as_py()) for text in part.column(at)], pa.bool_()))
 
         return rows.mapInArrow(clean, docs.schema)
 

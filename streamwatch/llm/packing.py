@@ -34,27 +34,35 @@ from .tokens import encoder
 
 #: Pieces of one length that a task numbers; the number does not follow the session or the size of the table.
 PER_TASK = 50_000
+#: Bytes of ids that a worker collects before it hands them on; ids may take more than the texts they come from.
+BATCH_BYTES = 4 << 20
 PIECES = "doc_id long, piece int, start long, length int, ids binary"
 PLAN = "length int, first long, last long, per_sequence long, sequence long, place int"
 
 
+def _piece_batch(rows: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
+    docs, numbers, starts, ids = zip(*rows) if rows else ((),) * 4
+    lengths = [len(x) // 4 for x in ids]
+    columns = [pa.array(docs, pa.int64()), pa.array(numbers, pa.int32()), pa.array(starts, pa.int64()), pa.array(lengths, pa.int32()), pa.array(ids, pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids"])
+
+
 def token_pieces(docs: DataFrame, tokenizer: str, *, capacity: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, piece, start, length, ids (32-bit little-endian). A document longer than
     ``capacity`` is cut every ``capacity`` ids; others are one piece."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs, numbers, starts, ids = [], [], [], []
+            rows, held = [], 0
             for doc, own in zip(batch.column(0).to_pylist(), encoder(tokenizer).encode(batch.column(1))):
                 own = np.append(own, np.uint32(end_id)).astype("<u4")
                 for start in range(0, len(own), capacity):
-                    docs.append(doc)
-                    numbers.append(start // capacity)
-                    starts.append(start)
-                    ids.append(own[start : start + capacity].tobytes())
-            lengths = [len(x) // 4 for x in ids]
-            columns = [pa.array(docs, pa.int64()), pa.array(numbers, pa.int32()), pa.array(starts, pa.int64()), pa.array(lengths, pa.int32()), pa.array(ids, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids"])
+                    rows.append((doc, start // capacity, start, own[start : start + capacity].tobytes()))
+                    held += len(rows[-1][-1])
+                    if held >= BATCH_BYTES:
+                        yield _piece_batch(rows)
+                        rows, held = [], 0
+            yield _piece_batch(rows)
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(cut, PIECES)
 

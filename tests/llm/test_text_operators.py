@@ -3,6 +3,7 @@ import hashlib
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -136,6 +137,25 @@ def test_items_in_odd_and_no_documents(spark, odd, no_docs):
     assert decontamination.drop_contaminated(odd, benchmark.limit(0)).count() == len(ODD)
 
 
+class _Task:
+    """In place of a table: what its tasks would run."""
+
+    columns, schema = ["doc_id", "text"], None
+
+    def mapInArrow(self, work, schema):
+        return work
+
+
+def test_clean_rows_leave_a_worker_in_small_batches(spark, monkeypatch):
+    benchmark = spark.createDataFrame([(1, "a passage of a benchmark, long enough to be found in texts")], "item_id long, text string")
+    texts = ["clean", "x A passage of a benchmark, long enough to be found in texts y", None, "", "clean too"] * 7
+    batch = pa.RecordBatch.from_arrays([pa.array(range(35), pa.int64()), pa.array(texts, pa.string())], ["doc_id", "text"])
+    monkeypatch.setattr(decontamination, "SLICE_ROWS", 4, raising=False)
+    parts = list(decontamination.drop_contaminated(_Task(), benchmark)(iter([batch, batch.slice(0, 0)])))
+    assert max(part.num_rows for part in parts) <= 4
+    assert [x for part in parts for x in part.column("doc_id").to_pylist()] == [k for k in range(35) if k % 5 != 1]
+
+
 # archives
 
 PAGES = [

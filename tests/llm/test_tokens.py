@@ -124,6 +124,32 @@ def test_packing_of_odd_documents(odd):
     assert _check_packing(rows, 64) == -(-sum(own.values()) // 64)
 
 
+class _Task:
+    """In place of a table: what its tasks would run."""
+
+    columns, schema = ["doc_id", "text"], None
+
+    def select(self, *columns):
+        return self
+
+    def mapInArrow(self, work, schema):
+        return work
+
+
+def test_pieces_leave_a_worker_in_small_batches(spark, monkeypatch):
+    texts = [row[1] for row in ODD] + TRICKY * 5
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], ["doc_id", "text"])
+
+    def pieces():
+        return list(packing.token_pieces(_Task(), WORD, capacity=16)(iter([batch, batch.slice(0, 0), batch])))
+
+    whole = pa.Table.from_batches(pieces())
+    monkeypatch.setattr(packing, "BATCH_BYTES", 256, raising=False)
+    small = pieces()
+    assert max(sum(map(len, part.column("ids").to_pylist())) for part in small) < 256 + 4 * 16
+    assert pa.Table.from_batches(small).equals(whole)
+
+
 def test_packing_of_no_documents(no_docs):
     assert packing.pack_documents(no_docs, WORD).count() == 0
 
