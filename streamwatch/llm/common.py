@@ -17,10 +17,24 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def stored(df: DataFrame, purpose: str, **options: str) -> DataFrame:
+#: Rows, of a few numbers or a signature each, that a partition has room for.
+ROWS_PER_FILE = 200_000
+
+
+def in_few_parts(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, of ``rows`` rows at most, in as many partitions as these need and at least one for each core, however many a shuffle
+    dealt it to. A file costs its executor more than a few rows do: Hadoop's local file system starts two processes for each."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.coalesce(max(cores, -(-rows // ROWS_PER_FILE)))
+
+
+def stored(df: DataFrame, purpose: str, rows: int | None = None, **options: str) -> DataFrame:
     """``df`` written as a table in the shared folder and read again: later steps neither
-    repeat its work nor depend on the executors that did it."""
+    repeat its work nor depend on the executors that did it. ``rows``, where known, says how many there are at most
+    and keeps them in few files; for steps with little work behind their last shuffle."""
     path = fresh_folder(df.sparkSession, purpose)
+    if rows is not None:
+        df = in_few_parts(df, rows)
     df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -15,7 +15,7 @@
    compared with all others. No link between components is left out, a group of n copies costs about n comparisons, and
    a task tells no more than the links that unite components.
 
-What a key or component has beyond a block goes to several tasks. Every step is a stored table.
+What a key or component has beyond a block goes to several tasks. Every step ends in a stored table, with as many files as its rows need.
 
 Rules: words are compared with A-Z in lower case. A text with fewer words than a shingle is one shingle; one without
 words has none and is linked with nothing. Rows with the same document id count as one document. A row without id is
@@ -40,7 +40,8 @@ CHUNK = 5
 MISSED = 1e-5
 #: Texts of a key or component that one task compares with as many others.
 BLOCK = 1024
-BLOCK_BYTES = 4 << 20
+#: Bytes of text that a worker describes at once; what it holds meanwhile is many times as much.
+BLOCK_BYTES = 1 << 20
 EDGES_PER_TASK = 500_000
 
 _MASK = (1 << 64) - 1
@@ -84,7 +85,8 @@ def shingle_sets(column: pa.Array, words: int) -> Iterator[tuple[np.ndarray, np.
         first = borders[:-1][borders[:-1] < len(part)]
         start[first] = inside[first]
         places = np.flatnonzero(start)
-        packed = np.concatenate([[0], np.cumsum(inside)])
+        packed = np.zeros(len(part) + 1, np.int64)
+        np.cumsum(inside, out=packed[1:])
         n = len(places)
         if n:
             coded = as_texts(part[inside], np.append(packed[places], packed[-1])).dictionary_encode()
@@ -173,11 +175,11 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(sets, "text_id long, shingles array<long>")
 
 
-def components(links: DataFrame) -> DataFrame:
-    """node, component (the smallest node reachable), for all nodes of ``links`` (a, b). Alternates the two star
+def components(links: DataFrame, rows: int | None = None) -> DataFrame:
+    """node, component (the smallest node reachable), for all nodes of ``links`` (a, b), which are read once. Alternates the two star
     operations: neighbours above a node are hung on its least neighbour, then those below; every node's edges
-    are summed up before they are joined, so a hub is no list in one task."""
-    edges = stored(links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+    are summed up before they are joined, so a hub is no list in one task. ``rows``: how many links there are at most, if known."""
+    edges = stored(links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges", rows)
     before = None
     while True:
         print_ = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("h")).first()
@@ -198,16 +200,17 @@ def components(links: DataFrame) -> DataFrame:
 class _Search:
     """The texts, their keys and sets, and what is known of their components."""
 
-    def __init__(self, texts: DataFrame, buckets: DataFrame, sets: DataFrame, similarity: float, most: int):
+    def __init__(self, texts: DataFrame, buckets: DataFrame, sets: DataFrame, similarity: float, most: int, rows: int):
         self.texts, self.buckets, self.sets, self.most = texts, buckets, sets, most
         self.percent = round(similarity * 100)
-        self.links = None
         self.labels = None
+        #: How many texts there are at most.
+        self.rows = rows
 
-    def add(self, links: DataFrame) -> None:
-        stars = links if self.links is None else links.unionByName(self.labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
-        self.links = links
-        self.labels = components(stars)
+    def add(self, links: DataFrame, rows: int) -> None:
+        """``rows``: how many links there are at most."""
+        stars = links if self.labels is None else links.unionByName(self.labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
+        self.labels = components(stars, rows if self.labels is None else rows + self.rows)
 
     def labelled(self, rows: DataFrame, column: str, label: str) -> DataFrame:
         """``rows`` with the component of the text in ``column``."""
@@ -244,7 +247,7 @@ class _Search:
     def pivots(self) -> None:
         """Each text with the pivot of each of its keys."""
         first = self.buckets.select(F.col("lo").alias("a"), F.col("text_id").alias("b")).filter("a <> b").distinct()
-        self.add(stored(self.confirmed(first), "links"))
+        self.add(self.confirmed(first), self.buckets.count())
 
     def rest(self) -> None:
         """What the pivots left. Components with texts under the signature distance make regions; within a region
@@ -269,11 +272,13 @@ class _Search:
             return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
         blocks = _in_block_pairs(rows, ["key"], F.col("n"))
-        met = components(stored(blocks.groupBy("key", "i", "j").applyInArrow(near, "a long, b long"), "near"))
+        # a task tells fewer pairs than it has rows
+        most_met = _rows_in_block_pairs(self.buckets, F.lit(1))
+        met = components(blocks.groupBy("key", "i", "j").applyInArrow(near, "a long, b long"), most_met)
         regions = met.unionByName(met.select(F.col("component").alias("node"), "component").distinct())
         regions = regions.select(F.col("node").alias("component"), F.col("component").alias("region"))
         members = self.labelled(self.texts.select("text_id"), "text_id", "component").join(regions, "component")
-        members = stored(members, "regions")
+        members = stored(members, "regions", self.rows)
         sizes = members.groupBy("region").agg(F.count("*").alias("n"))
         blocks = _in_block_pairs(members.join(sizes, "region").join(self.sets, "text_id"), ["region"], F.col("n"))
         percent = self.percent
@@ -300,7 +305,7 @@ class _Search:
                         b.append(int(text[other]))
             return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-        self.add(stored(blocks.groupBy("region", "i", "j").applyInArrow(compare, "a long, b long"), "links"))
+        self.add(blocks.groupBy("region", "i", "j").applyInArrow(compare, "a long, b long"), _rows_in_block_pairs(sizes, F.col("n")))
 
 
 class _Union:
@@ -335,26 +340,37 @@ def _in_block_pairs(rows: DataFrame, group: list[str], size: Column) -> DataFram
     return rows.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("block", "other")
 
 
+def _rows_in_block_pairs(groups: DataFrame, weight: Column) -> int:
+    """How many rows :func:`_in_block_pairs` makes. ``groups``: ``n``, the size of a row's group, for ``weight`` rows of it each."""
+    return groups.agg(F.coalesce(F.sum(weight * F.ceil(F.col("n") / BLOCK)), F.lit(0))).first()[0]
+
+
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest document id reachable over links of at least ``similarity``, its own
     included), kept (it is that document)."""
+    return _classes(docs, id_col, text_col, words, similarity)[0]
+
+
+def _classes(docs: DataFrame, id_col: str, text_col: str, words: int, similarity: float) -> tuple[DataFrame, int]:
+    """What :func:`near_duplicates` returns, and how many rows ``docs`` has."""
     chunks = chunks_for(similarity)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     described = stored(_described(rows, words, CHUNK * chunks), "signatures")
+    n = described.count()
     named = described.filter("doc_id is not null and n_shingles > 0")
-    texts = stored(named.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("text_id"), F.count("*").alias("copies")), "named-texts")
+    texts = stored(named.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("text_id"), F.count("*").alias("copies")), "named-texts", n)
     total = texts.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
     # a large group of exact copies is not joined with its name in one task
     members = attached(named.select("doc_id", "set_a", "set_b"), texts, ["set_a", "set_b"], F.col("copies") > int(total * HOT_SHARE), ["doc_id"])
-    members = stored(members.select("doc_id", "text_id").distinct(), "members")
+    members = stored(members.select("doc_id", "text_id").distinct(), "members", n)
     whole = named.select(F.col("doc_id").alias("text_id"), "signature").join(members.select("text_id").distinct(), "text_id")
-    whole = stored(whole, "texts")
+    whole = stored(whole, "texts", n)
     keyed = _keyed(whole).repartition("key")
     shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("text_id").alias("lo")).filter("n > 1")
-    buckets = stored(keyed.join(shared, "key"), "buckets")
-    candidates = stored(buckets.select("text_id").distinct(), "candidates")
+    buckets = stored(keyed.join(shared, "key"), "buckets", n * CHUNK * chunks)
+    candidates = stored(buckets.select("text_id").distinct(), "candidates", n)
     own = rows_by_id(rows, "doc_id", candidates, among=True)
-    search = _Search(whole, buckets, stored(_sets(own, words), "sets"), similarity, 2 * chunks - 1)
+    search = _Search(whole, buckets, stored(_sets(own, words), "sets"), similarity, 2 * chunks - 1, n)
     search.pivots()
     search.rest()
     label = search.labelled(members, "text_id", "component")
@@ -365,14 +381,14 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         final = components(links).select(F.col("node").alias("doc_id"), F.col("component").alias("component_id"))
     found = described.select("doc_id", "n_shingles").join(final, "doc_id", "left")
     found = found.withColumn("component_id", F.coalesce("component_id", "doc_id"))
-    return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("kept"))
+    return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("kept")), n
 
 
 def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
     """``docs`` with one document of each group: that with the smallest id. Of rows with one id, that with the
     smallest hash of its text stays; rows without id all stay."""
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col, words=words, similarity=similarity)
-    found = stored(found.filter("doc_id is not null"), "classes")
+    found, n = _classes(docs, id_col, text_col, words, similarity)
+    found = stored(found.filter("doc_id is not null"), "classes", n)
     left = rows_by_id(docs, id_col, found.filter(~F.col("kept")).select("doc_id"), among=False)
     if found.groupBy("doc_id").count().filter("count > 1").isEmpty():
         return left

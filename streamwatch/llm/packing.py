@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import in_few_parts, stored
 from .tokens import encoder
 
 #: Pieces of one length that a task numbers; the number does not follow the session or the size of the table.
@@ -200,7 +200,7 @@ def pack_pieces(pieces: DataFrame, capacity: int, per_task: int = PER_TASK) -> D
         salts = F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for pair in many for x in pair)), F.col("length").cast("int")), F.lit(1))
     salted = pieces.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece"), salts).cast("int"))
     # a row for each length, and one more for each ``per_task`` pieces
-    sizes = stored(salted.groupBy("length", "_salt").agg(F.count("*").alias("_n")), "piece-counts")
+    sizes = stored(salted.groupBy("length", "_salt").agg(F.count("*").alias("_n")), "piece-counts", len(counts) + sum(n for _, n in many))
     before = Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
     bases = sizes.select("length", "_salt", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
     own = Window.partitionBy("length", "_salt").orderBy("doc_id", "piece", "start")
@@ -211,11 +211,12 @@ def pack_pieces(pieces: DataFrame, capacity: int, per_task: int = PER_TASK) -> D
     plan = F.broadcast(plan.withColumnRenamed("length", "_length"))
     at = (F.col("length") == F.col("_length")) & (F.col("_number") >= F.col("first")) & (F.col("_number") < F.col("last"))
     within = F.col("_number") - F.col("first")
-    return numbered.join(plan, at).select(
+    packed = numbered.join(plan, at).select(
         *pieces.columns,
         (F.col("sequence") + F.floor(within / F.col("per_sequence"))).cast("long").alias("sequence_id"),
         (F.col("place") + within % F.col("per_sequence") * F.col("length")).cast("long").alias("offset"),
     )
+    return in_few_parts(packed, sum(counts.values()))
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, *, capacity: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

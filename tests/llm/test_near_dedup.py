@@ -1,9 +1,12 @@
 import random
 import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from streamwatch import session
+from streamwatch.llm import common, packing
 from streamwatch.llm import near_dedup as near
 
 from .conftest import ODD
@@ -96,3 +99,46 @@ def test_chunks_keep_nearly_all_pairs():
     assert near.chunks_for(0.85) < near.chunks_for(0.8) < 25
     with pytest.raises(ValueError):
         near.chunks_for(0.3)
+
+
+def _files(folders):
+    return {folder: len(list(Path(folder.removeprefix("file:")).glob("part-*"))) for folder in folders}
+
+
+def test_tables_have_as_many_files_as_their_rows_need(spark, documents, setting):
+    setting("spark.sql.shuffle.partitions", "64")
+    setting("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    texts, cores, mark = _corpus(), spark.sparkContext.defaultParallelism, session.scratch_mark()
+    left = near.drop_near_duplicates(documents(texts), words=3, similarity=0.85)
+    expected = plain_classes(texts, 3, 85)
+    assert sorted(row.doc_id for row in left.collect()) == [doc for doc, (_, component) in sorted(expected.items()) if doc == component]
+    files = _files(session._SCRATCH[mark:])
+    assert len(files) > 10 and max(files.values()) <= cores < 64, files
+
+
+def test_packed_pieces_have_as_many_files_as_their_rows_need(spark, setting, tmp_path):
+    setting("spark.sql.shuffle.partitions", "64")
+    setting("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    pieces = spark.range(600).selectExpr("id as doc_id", "0 as piece", "0L as start", "id % 60 + 1 as length").repartition(3).cache()
+    cores, mark = spark.sparkContext.defaultParallelism, session.scratch_mark()
+    packing.pack_pieces(pieces, 64, per_task=4).write.parquet(f"{tmp_path}/packed")
+    files = _files([*session._SCRATCH[mark:], f"{tmp_path}/packed"])
+    assert len(files) == 2 and max(files.values()) <= cores < 64, files
+    assert spark.read.parquet(f"{tmp_path}/packed").count() == 600
+
+
+def test_more_rows_have_more_files(spark, monkeypatch):
+    monkeypatch.setattr(common, "ROWS_PER_FILE", 10)
+    rows = spark.range(0, 1000, numPartitions=64)
+    assert common.in_few_parts(rows, 300).rdd.getNumPartitions() == 30
+    assert common.in_few_parts(rows, 1000).rdd.getNumPartitions() == 64
+    assert common.in_few_parts(rows, 0).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+@pytest.mark.parametrize("n", [0, 1, 1024, 3000])
+def test_number_of_rows_in_block_pairs(spark, monkeypatch, n):
+    monkeypatch.setattr(near, "BLOCK", 100)
+    rows = spark.range(n).selectExpr("id as text_id", "1 as key", f"{n}L as n")
+    made = near._in_block_pairs(rows, ["key"], F.col("n")).count()
+    sizes = rows.groupBy("key").agg(F.count("*").alias("n"))
+    assert made == near._rows_in_block_pairs(rows, F.lit(1)) == near._rows_in_block_pairs(sizes, F.col("n"))
